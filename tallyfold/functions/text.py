@@ -16,7 +16,6 @@ def trim_unicode(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
-
 def normalize_message(text: Column) -> Column:
     """Digits to ``<num>``, white-space runs to one space, ends trimmed."""
     numbers = F.regexp_replace(text, r"\d+", "<num>")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tallyfold.functions.strict import to_instant
 from tallyfold.operators import json_quality as Q
 from tallyfold.operators.ranking import top_k
 from tallyfold.operators.verdict import arg_max
@@ -40,25 +41,63 @@ def peak_hour(hours: DataFrame) -> DataFrame:
     return best.select("path", F.col("best.key").alias("peak_hour"), (-F.col("best.neg")).alias("peak_sessions"))
 
 
-def json_metrics(checked: DataFrame) -> DataFrame:
-    """The single-valued metrics, one row per document.
+def json_facts(checked: DataFrame) -> DataFrame:
+    """The one reduction all document results can be derived from.
 
-    All rows exploded from a document stay in its task until the map-side
-    part has reduced them, so each shuffle moves one row per document and key.
+    ``path, kind, key, n, seconds, pages`` with the kinds ``file`` (its
+    verdict), ``user`` (active or not), ``session``, ``hour`` and ``action``.
+    Documents are parsed once; all facts of one stay in its task until the
+    map-side part has counted them, and a single shuffle merges the counts.
     """
-    user_rows, session_rows = Q.users(checked), Q.sessions(checked)
-    zero = F.lit(0).cast("bigint")
+    fact = "struct('{}' AS kind, {} AS key, {} AS seconds, {} AS pages)".format
+    active = f"coalesce(try_variant_get(u, '$.{Q.ACTIVE}', 'boolean'), false)"
+    number = "greatest(0.0D, coalesce(try_variant_get(s, '$.{}', 'double'), 0.0D))".format
+    # Only a string is a start; the instant is NULL for any other text.
+    start = f"try_variant_get(s, '$.{Q.START}', 'string')"
+    hour = f"CAST(hour({to_instant(start)}) AS STRING)"
+    actions = f"coalesce(try_variant_get(s, '$.{Q.ACTIONS}', 'array<string>'), cast(array() AS array<string>))"
+    facts = f"""concat(
+        array({fact("file", "verdict", "0.0D", "0.0D")}),
+        coalesce(transform(users, u -> {fact("user", f"CAST({active} AS STRING)", "0.0D", "0.0D")}), array()),
+        coalesce(transform(sessions, s -> {fact("session", "''", number(Q.DURATION), number(Q.PAGES))}), array()),
+        coalesce(transform(sessions, s -> {fact("hour", hour, "0.0D", "0.0D")}), array()),
+        coalesce(flatten(transform(sessions, s -> transform({actions}, a ->
+            {fact("action", "a", "0.0D", "0.0D")}))), array()))"""
     return (
-        checked.select("path", F.col("fatal").alias("failed"))
-        .join(user_counts(user_rows), "path", "left")
-        .join(session_totals(session_rows), "path", "left")
-        .join(peak_hour(Q.session_hours(session_rows)), "path", "left")
-        .select(
-            "path", "failed",
-            F.when(F.col("failed"), zero).otherwise(F.lit(1).cast("bigint")).alias("n_valid"),
-            F.when(F.col("failed"), F.lit(1).cast("bigint")).otherwise(zero).alias("n_reject"),
-            *[F.coalesce(c, zero).alias(c) for c in ("total_users", "active_users", "inactive_users")],
-            *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("avg_session_seconds", "total_pages")],
-            "peak_hour", "peak_sessions",
+        checked.selectExpr("path", f"explode({facts}) AS f")
+        .groupBy("path", F.col("f.kind").alias("kind"), F.col("f.key").alias("key"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.sum("f.seconds").alias("seconds"), F.sum("f.pages").alias("pages")
         )
     )
+
+
+def facts_actions(facts: DataFrame) -> DataFrame:
+    return facts.where("kind = 'action'").select("path", F.col("key").alias("action"), "n")
+
+
+def json_metrics(facts: DataFrame) -> DataFrame:
+    """The single-valued metrics, one row per document, from the facts.
+
+    The facts of a document are few (hours, distinct actions), and each sum has
+    a map-side part.
+    """
+    total = lambda test, value="n": F.coalesce(F.sum(F.when(F.expr(test), F.col(value))), F.lit(0))
+    hour = F.when((F.col("kind") == "hour") & F.col("key").isNotNull(), F.col("key").cast("int"))
+    files = facts.groupBy("path").agg(
+        total("kind = 'file' AND key = 'valid'").alias("n_valid"),
+        total("kind = 'file' AND key = 'reject'").alias("n_reject"),
+        total("kind = 'user'").alias("total_users"),
+        total("kind = 'user' AND key = 'true'").alias("active_users"),
+        total("kind = 'user' AND key = 'false'").alias("inactive_users"),
+        total("kind = 'session'").alias("sessions"),
+        total("kind = 'session'", "seconds").cast("double").alias("seconds"),
+        total("kind = 'session'", "pages").cast("double").alias("total_pages"),
+        arg_max(F.col("n"), hour).alias("best"),
+    )
+    return files.select(
+        "path", (F.col("n_reject") > 0).alias("failed"), "n_valid", "n_reject",
+        "total_users", "active_users", "inactive_users",
+        F.coalesce(F.try_divide("seconds", "sessions"), F.lit(0.0)).alias("avg_session_seconds"), "total_pages",
+        F.col("best.key").alias("peak_hour"), (-F.col("best.neg")).alias("peak_sessions"),
+    )

@@ -393,8 +393,8 @@ SELECT path, error IS NOT NULL AS failed, coalesce(total_users, 0) AS total_user
   peak_hour, peak_sessions
 FROM j_docs LEFT JOIN j_uc USING (path) LEFT JOIN j_sc USING (path) LEFT JOIN j_peak USING (path)""", O.JSON))
 def q_json_metrics(spark, sf):
-    checked = settle(_json(spark, sf))
-    return _round(JM.json_metrics(checked).drop("n_valid", "n_reject"), 6, "avg_session_seconds")
+    facts = settle(JM.json_facts(_json(spark, sf)))
+    return _round(JM.json_metrics(facts).drop("n_valid", "n_reject"), 6, "avg_session_seconds")
 
 
 # --- log metrics ----------------------------------------------------------------------
@@ -482,10 +482,7 @@ def q_csv_consolidated(spark, sf):
 SELECT count(*) AS total_users, count(*) FILTER (active) AS active_users,
   count(*) FILTER (NOT active) AS inactive_users FROM j_u""", O.JSON))
 def q_json_consolidated(spark, sf):
-    checked = _json(spark, sf)
-    counts = checked.select("path", F.col("fatal").alias("failed")).join(
-        JM.user_counts(JQ.users(checked)), "path", "left")
-    return R.user_totals(counts)
+    return R.user_totals(JM.json_metrics(JM.json_facts(_json(spark, sf))))
 
 
 @register("log_consolidated", O.with_ctes("""
@@ -548,13 +545,13 @@ _REPORT = " UNION ALL ".join([
 
 def _report(spark: SparkSession, sf: str) -> DataFrame:
     cube = settle(SM.sales_cube(_sales(spark, sf)))
-    checked = settle(_json(spark, sf))
+    documents = settle(JM.json_facts(_json(spark, sf)))
     facts = settle(LM.log_facts(_log(spark, sf)))
     messages = LM.facts_messages(facts)
-    actions = JM.top_actions(JM.action_counts(JQ.actions(JQ.sessions(checked))))
+    actions = JM.top_actions(JM.facts_actions(documents))
     return (
         P.csv_shown(SM.sales_metrics(cube))
-        .unionByName(P.json_shown(JM.json_metrics(checked), actions))
+        .unionByName(P.json_shown(JM.json_metrics(documents), actions))
         .unionByName(P.log_shown(
             LM.log_metrics(facts), LM.facts_by_level(facts), LM.facts_by_hour(facts), LM.top_errors(messages),
             LM.patterns(messages),
@@ -697,9 +694,11 @@ SELECT CAST(to_json(struct_pack(path := path, actions := actions, hours := hours
   SELECT path, list_sort(list(DISTINCT action)) AS actions FROM j_a GROUP BY path) JOIN (
   SELECT path, [min(hour), max(hour)] AS hours FROM j_s WHERE hour IS NOT NULL GROUP BY path) USING (path)""", O.JSON))
 def q_to_json(spark, sf):
-    sessions = JQ.sessions(settle(_json(spark, sf)))
-    # A set per document, from already distinct actions.
-    actions = JM.action_counts(JQ.actions(sessions)).groupBy("path").agg(
-        F.array_sort(F.collect_list("action")).alias("actions"))
-    hours = JQ.session_hours(sessions).groupBy("path").agg(F.array(F.min("hour"), F.max("hour")).alias("hours"))
-    return K.to_json_rows(actions.join(hours, "path").select("path", "actions", "hours"))
+    facts = JM.json_facts(_json(spark, sf)).where("kind IN ('action', 'hour') AND key IS NOT NULL")
+    # A set and a range per document, from facts that are already distinct.
+    hour = F.when(F.col("kind") == "hour", F.col("key").cast("int"))
+    results = facts.groupBy("path").agg(
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "action", F.col("key")))).alias("actions"),
+        F.array(F.min(hour), F.max(hour)).alias("hours"),
+    )
+    return K.to_json_rows(results.where("hours[0] IS NOT NULL"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyfold.functions.text import base_name, extension
+from tallyfold.functions.text import extension
 from tallyfold.schemas import DETAILS, SUPPORTED_EXTENSIONS
 
 
@@ -49,15 +49,21 @@ def discovery_errors(requested: DataFrame, files: DataFrame) -> DataFrame:
     ``files`` is the unfiltered listing. Each file is matched to the request
     by equality on itself and on each folder above it, counted before the
     shuffle, so a request for a root folder costs one row per map task.
+    ``requested`` may say in a column ``exists`` which inputs are known to
+    exist, which tells an empty folder from an absent one.
     """
     keys = files.select("path", F.explode(_ancestors(F.col("path"))).alias("input"))
     found = keys.groupBy("input").agg(
         F.bool_or(F.col("path") == F.col("input")).alias("is_file"),
         F.bool_or(supported(F.col("path"))).alias("any_supported"),
     )
+    if "exists" not in requested.columns:
+        requested = requested.withColumn("exists", F.lit(False))
+    requested = requested.groupBy("input").agg(F.bool_or("exists").alias("exists"))
     ext = extension(F.col("input"))
     reason = (
         F.when(F.col("is_file") & ~F.col("any_supported"), "unsupported_format")
+        .when(F.col("is_file").isNull() & F.col("exists"), "no_supported_files")
         .when(F.col("is_file").isNull() & (ext == ""), "directory_not_found")
         .when(F.col("is_file").isNull(), "file_not_found")
         .when(~F.col("any_supported"), "no_supported_files")
@@ -69,19 +75,8 @@ def discovery_errors(requested: DataFrame, files: DataFrame) -> DataFrame:
     for name in ("directory_not_found", "file_not_found", "no_supported_files"):
         details = details.when(F.col("reason") == name, F.lit(DETAILS[name]))
     return (
-        requested.select("input")
-        .distinct()
-        .join(found, "input", "left")
+        requested.join(found, "input", "left")
         .select("input", reason.alias("reason"))
         .where("reason IS NOT NULL")
         .select("input", "reason", details.alias("details"))
     )
-
-
-def file_kind(path: Column) -> Column:
-    return F.substring(extension(path), 2, 10)
-
-
-__all__ = [
-    "base_name", "dedupe", "discovery_errors", "file_kind", "in_path_order", "keep_supported", "manifest", "supported",
-]
