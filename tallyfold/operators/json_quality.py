@@ -17,12 +17,15 @@ from tallyfold.operators.verdict import REJECT, VALID, is_valid
 def parse_documents(docs: DataFrame) -> DataFrame:
     """``path, doc, error``: strict JSON with an object at the root.
 
-    The text is parsed inside brackets: trailing text or a second document
-    then breaks the parse or adds an element, where a bare parse ignores it.
+    A bare parse ignores text after the first value. So the text is parsed as
+    the first of two elements, followed by a hash of itself: only if the text
+    is exactly one value is the array's second and last element that hash.
     """
-    boxed = once(docs, ["path"], boxed="try_parse_json(concat('[', content, ']'))")
-    items = once(boxed, ["path"], items="try_variant_get(boxed, '$', 'array<variant>')")
-    single = once(items, ["path"], root="CASE WHEN size(items) = 1 THEN items[0] END")
+    sealed = "try_parse_json(concat('[', content, ',', xxhash64(content), ']'))"
+    boxed = once(docs, ["path"], seal="xxhash64(content)", boxed=sealed)
+    items = once(boxed, ["path", "seal"], items="try_variant_get(boxed, '$', 'array<variant>')")
+    whole = "size(items) = 2 AND try_variant_get(items[1], '$', 'bigint') = seal"
+    single = once(items, ["path"], root=f"CASE WHEN {whole} THEN items[0] END")
     error = f"""CASE WHEN root IS NULL THEN '{S.ERR_JSON}'
                      WHEN NOT startswith(schema_of_variant(root), 'OBJECT') THEN '{S.ERR_JSON_ROOT}' END"""
     return once(single, ["path", "root"], error=error).selectExpr(

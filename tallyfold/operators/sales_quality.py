@@ -145,9 +145,8 @@ def sales_rejects(checked: DataFrame) -> DataFrame:
     return outside_failed_files(rows, checked).unionByName(per_file)
 
 
-def empty_files(files: DataFrame, lines: DataFrame) -> DataFrame:
-    """Files of the manifest without any line: one reject each."""
-    seen = lines.select("path").distinct()
-    return files.join(seen, "path", "left_anti").select(
+def empty_files(files: DataFrame) -> DataFrame:
+    """CSV files of the manifest (``path, bytes``) without any content: one reject each."""
+    return files.where("bytes = 0 AND endswith(path, '.csv')").select(
         "path", F.lit(1).cast("bigint").alias("line"), F.lit(S.ERR_EMPTY_CSV).alias("error")
     )

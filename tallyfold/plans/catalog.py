@@ -147,9 +147,10 @@ def q_header(spark, sf):
 @register("csv_empty_check", O.with_ctes(
     "SELECT 'empty_' || s_suppkey || '.csv' AS path, CAST(1 AS BIGINT) AS line, 'Empty CSV' AS error FROM supplier", O.SALES))
 def q_empty(spark, sf):
-    lines = B.sales_lines(spark, sf)
-    empty = B.table(spark, sf, "supplier").selectExpr("concat('empty_', s_suppkey, '.csv') AS path")
-    return SQ.empty_files(lines.select("path").distinct().unionByName(empty), lines)
+    size = F.sum(F.octet_length("value") + 1).cast("bigint").alias("bytes")
+    files = B.sales_lines(spark, sf).groupBy("path").agg(size)
+    empty = B.table(spark, sf, "supplier").selectExpr("concat('empty_', s_suppkey, '.csv') AS path", "0L AS bytes")
+    return SQ.empty_files(files.unionByName(empty))
 
 
 @register("csv_quote_repair", O.with_ctes(

@@ -15,7 +15,7 @@ from tallyfold.operators import (
     sales_quality as SQ,
 )
 from tallyfold.plans import report as P
-from tallyfold.schemas import DETAILS, ERR_EMPTY_CSV
+from tallyfold.schemas import DETAILS, ERR_JSON
 from tallyfold.session import prepare, settle
 from tallyfold.sources import history as H, lines as L, manifest as M, sinks as K
 
@@ -94,6 +94,13 @@ def _with_empty(counts: DataFrame, files: DataFrame, kind: str, rejects: int) ->
     )
 
 
+def _with_empty_logs(metrics: DataFrame, files: DataFrame) -> DataFrame:
+    """Log metrics with a row for each file without a line; such a file is ok."""
+    zeros = {"n_valid": 0, "n_reject": 0, "total_entries": 0, "gap_count": 0, "gap_avg": 0.0, "failed": False}
+    mine = files.where("endswith(path, '.log')").select("path")
+    return mine.join(metrics, "path", "left").fillna(zeros)
+
+
 def analyze(spark: SparkSession, roots: list[str], files: DataFrame) -> dict[str, DataFrame]:
     """Every result table of a run.
 
@@ -111,21 +118,23 @@ def analyze(spark: SparkSession, roots: list[str], files: DataFrame) -> dict[str
     judged = JQ.check_documents(docs)
     documents = settle(JM.json_facts(judged))
 
-    csv, log, json = SM.sales_metrics(cube), LM.log_metrics(facts), JM.json_metrics(documents)
-    csv_counts = _with_empty(csv.select("path", "n_valid", "n_reject", "failed"), files, "csv", 1)
+    csv, json = settle(SM.sales_metrics(cube)), settle(JM.json_metrics(documents))
+    log = settle(_with_empty_logs(LM.log_metrics(facts), files))
     statuses = settle(
-        R.file_status(csv_counts, "csv")
+        R.file_status(_with_empty(csv, files, "csv", 1), "csv")
         .unionByName(R.file_status(_with_empty(json, files, "json", 1), "json"))
-        .unionByName(R.file_status(_with_empty(log, files, "log", 0), "log"))
-    )
-    sales_rejects = SQ.sales_rejects(sales)
-    seen = csv_counts.where("n_valid = 0 AND n_reject = 1 AND NOT failed").select("path")
-    empty = seen.join(cube.select("path").distinct(), "path", "left_anti").select(
-        "path", F.lit(1).cast("bigint").alias("line"), F.lit(ERR_EMPTY_CSV).alias("error")
+        .unionByName(R.file_status(log, "log"))
     )
     log_rejects = LQ.log_rejects(LQ.check_log(L.number_lines(raw_log)))
-    line_errors = sales_rejects.unionByName(empty).unionByName(log_rejects)
-    whole = line_errors.where("line IS NULL").select("path", "error").unionByName(JQ.json_errors(judged))
+    line_errors = settle(
+        SQ.sales_rejects(sales).unionByName(SQ.empty_files(files)).unionByName(log_rejects)
+    )
+    no_document = files.where("bytes = 0 AND endswith(path, '.json')").select("path", F.lit(ERR_JSON).alias("error"))
+    whole = (
+        line_errors.where("line IS NULL").select("path", "error")
+        .unionByName(JQ.json_errors(judged))
+        .unionByName(no_document)
+    )
 
     messages = LM.facts_messages(facts)
     top_actions = JM.top_actions(JM.facts_actions(documents))

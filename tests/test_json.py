@@ -28,6 +28,8 @@ def test_validity(spark):
         '{"a":1},{"b":2}': S.ERR_JSON,
         '{"a":1},': S.ERR_JSON,
         "1],[2": S.ERR_JSON,
+        '{"a":1}] x': S.ERR_JSON,
+        '{"a":1},0]': S.ERR_JSON,
         "{a:1}": S.ERR_JSON,
         "[]": S.ERR_JSON_ROOT,
         '[{"a":1}]': S.ERR_JSON_ROOT,
