@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyfold import schemas as S
 from tallyfold.functions import strict
 from tallyfold.functions.once import once
-from tallyfold.operators.verdict import REJECT, SKIP, VALID, is_reject, is_valid, outside_failed_files
+from tallyfold.operators.verdict import REJECT, SKIP, VALID, is_reject, is_valid
+from tallyfold.session import join_small, settle
 
 FIELDS = ("date", "product", "category", "unit_price", "quantity", "discount")
 
@@ -118,31 +119,38 @@ def add_amounts(rows: DataFrame) -> DataFrame:
     )
 
 
-def valid_sales(checked: DataFrame) -> DataFrame:
-    rows = checked.where(is_valid()).drop("verdict", "error", "fatal")
-    return outside_failed_files(rows, checked)
+def failed_files(lines: DataFrame) -> DataFrame:
+    """``path, quote``: files that fail as a whole, by a stray quote or by their header.
+
+    Only the first line and lines with a quote can do that, so only those are
+    checked.
+    """
+    suspects = lines.where("line = 1 OR contains(value, '\"')")
+    return check_sales(suspects).where("fatal").groupBy("path").agg(
+        F.bool_or(F.col("error") == S.ERR_QUOTE).alias("quote")
+    )
+
+
+def valid_sales(lines: DataFrame) -> DataFrame:
+    """The valid rows of files that do not fail as a whole."""
+    rows = check_sales(lines).where(is_valid()).drop("verdict", "error", "fatal")
+    return join_small(rows, failed_files(lines).select("path"), "path", "left_anti")
 
 
-def sales_rejects(checked: DataFrame) -> DataFrame:
+def sales_rejects(lines: DataFrame) -> DataFrame:
     """``path, line, error``; a file that fails as a whole has one row.
 
     A bad header is reported at line 1, a stray quote for the file (line NULL).
-    The whole-file rows are reduced to one per file before they are joined.
     """
-    per_file = (
-        checked.where("fatal")
-        .groupBy("path")
-        .agg(F.bool_or(F.col("error") == S.ERR_QUOTE).alias("quote"))
-        .select(
-            "path",
-            F.when(~F.col("quote"), F.lit(1)).cast("bigint").alias("line"),
-            F.when(F.col("quote"), S.ERR_QUOTE).otherwise(S.ERR_HEADER).alias("error"),
-        )
+    failed = settle(failed_files(lines))
+    per_file = failed.selectExpr(
+        "path", "CASE WHEN NOT quote THEN 1L END AS line",
+        f"CASE WHEN quote THEN '{S.ERR_QUOTE}' ELSE '{S.ERR_HEADER}' END AS error",
     )
-    rows = checked.where(is_reject() & ~F.col("fatal")).select(
-        "path", F.col("line").cast("bigint").alias("line"), "error"
+    rows = check_sales(lines).where(is_reject() & ~F.col("fatal")).selectExpr(
+        "path", "CAST(line AS BIGINT) AS line", "error"
     )
-    return outside_failed_files(rows, checked).unionByName(per_file)
+    return join_small(rows, failed.select("path"), "path", "left_anti").unionByName(per_file)
 
 
 def empty_files(files: DataFrame) -> DataFrame:

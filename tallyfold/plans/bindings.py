@@ -23,13 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table with fewer splits than cores.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for a table with fewer splits than cores, by a unique key.
 
     A table that large scans cut into enough splits is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 # --- sales ------------------------------------------------------------------
@@ -55,9 +55,9 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate",
         F.col("_metadata.row_index").alias("ri"),
         # A table of several files numbers rows in each of them.
-        F.regexp_replace(F.col("_metadata.file_name"), r"^lineitem\.parquet$", "").alias("source"),
+        F.replace(F.col("_metadata.file_name"), F.lit("lineitem.parquet"), F.lit("")).alias("source"),
     )
-    items = spread(items)
+    items = spread(items, "ri")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     n = LINES_PER_CSV
     return items.join(parts, F.col("l_partkey") == F.col("p_partkey")).selectExpr(
@@ -111,7 +111,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, line, value``; event ids are dense, so they number the lines."""
     n = LINES_PER_LOG
-    rows = spread(table(spark, sf_dir, "events")).selectExpr(
+    rows = spread(table(spark, sf_dir, "events"), "event_id").selectExpr(
         f"concat('app_', event_id div {n}, '.log') AS path",
         f"event_id % {n} + 1 AS line",
         f"CASE WHEN (event_id div {n}) % 4 = 3 THEN event_id % 17 ELSE -1 END AS fault",

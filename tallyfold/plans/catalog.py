@@ -215,19 +215,19 @@ def q_discount(spark, sf):
 SELECT path, CAST(line AS BIGINT) AS line, dt AS date, product, category, CAST(price AS DOUBLE) AS unit_price,
   qty AS quantity, CAST(disc AS DOUBLE) AS discount_pct FROM s_valid""", O.SALES))
 def q_valid(spark, sf):
-    return SQ.valid_sales(_sales(spark, sf)).drop("gross", "net")
+    return SQ.valid_sales(B.sales_lines(spark, sf)).drop("gross", "net")
 
 
 @register("csv_rejects", O.with_ctes("SELECT path, line, error FROM s_reject", O.SALES))
 def q_rejects(spark, sf):
-    return SQ.sales_rejects(_sales(spark, sf))
+    return SQ.sales_rejects(B.sales_lines(spark, sf))
 
 
 @register("csv_net", O.with_ctes("""
 SELECT path, CAST(line AS BIGINT) AS line, round(CAST(price AS DOUBLE) * qty, 2) AS gross, round(net, 4) AS net
 FROM s_valid""", O.SALES))
 def q_net(spark, sf):
-    rows = SQ.valid_sales(_sales(spark, sf)).select("path", "line", "gross", "net")
+    rows = SQ.valid_sales(B.sales_lines(spark, sf)).select("path", "line", "gross", "net")
     return _round(_round(rows, 2, "gross"), 4, "net")
 
 
@@ -550,13 +550,12 @@ def _report(spark: SparkSession, sf: str) -> DataFrame:
     facts = settle(LM.log_facts(_log(spark, sf)))
     messages = LM.facts_messages(facts)
     actions = JM.top_actions(JM.facts_actions(documents))
+    csv, json, log = settle(SM.sales_metrics(cube)), settle(JM.json_metrics(documents)), settle(LM.log_metrics(facts))
+    levels, hours = LM.facts_by_level(facts), LM.facts_by_hour(facts)
     return (
-        P.csv_shown(SM.sales_metrics(cube))
-        .unionByName(P.json_shown(JM.json_metrics(documents), actions))
-        .unionByName(P.log_shown(
-            LM.log_metrics(facts), LM.facts_by_level(facts), LM.facts_by_hour(facts), LM.top_errors(messages),
-            LM.patterns(messages),
-        ))
+        P.csv_shown(csv)
+        .unionByName(P.json_shown(json, actions))
+        .unionByName(P.log_shown(log, levels, hours, LM.top_errors(messages), LM.patterns(messages)))
     )
 
 
@@ -566,7 +565,7 @@ def q_report(spark, sf):
 
 
 def _line_errors(spark: SparkSession, sf: str) -> DataFrame:
-    return SQ.sales_rejects(_sales(spark, sf)).unionByName(LQ.log_rejects(_log(spark, sf)))
+    return SQ.sales_rejects(B.sales_lines(spark, sf)).unionByName(LQ.log_rejects(_log(spark, sf)))
 
 
 @register("omitted_files", O.with_ctes(f"""
@@ -587,7 +586,7 @@ UNION ALL SELECT path, 'partial: line ' || line || ': ' || error FROM s_reject J
 UNION ALL SELECT path, 'partial: line ' || line || ': ' || error FROM l_reject JOIN l_status USING (path)
   WHERE status = 'partial'""", O.SALES, O.JSON, O.LOG))
 def q_errors(spark, sf):
-    sales = SQ.sales_rejects(_sales(spark, sf))
+    sales = SQ.sales_rejects(B.sales_lines(spark, sf))
     whole = sales.where("line IS NULL").select("path", "error").unionByName(JQ.json_errors(_json(spark, sf)))
     return P.error_list(_statuses(spark, sf), sales.unionByName(LQ.log_rejects(_log(spark, sf))), whole)
 
@@ -642,7 +641,7 @@ SELECT 'csv' AS run_id, path, line, error FROM s_reject UNION ALL SELECT 'log',
     O.SALES, O.LOG))
 def q_sink_rejects(spark, sf):
     folder = new_folder(spark, "rejects")
-    K.write_rejects(SQ.sales_rejects(_sales(spark, sf)), folder, "csv")
+    K.write_rejects(SQ.sales_rejects(B.sales_lines(spark, sf)), folder, "csv")
     K.write_rejects(LQ.log_rejects(_log(spark, sf)), folder, "log")
     return spark.read.parquet(folder).select("run_id", "path", "line", "error")
 

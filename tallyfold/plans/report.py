@@ -104,11 +104,9 @@ def json_shown(metrics: DataFrame, top_actions: DataFrame) -> DataFrame:
 
 def _ranked(ok: DataFrame, top: DataFrame, section: str, label: str, value: Column, none: str) -> DataFrame:
     """Ranked rows of ok files; one row saying so for a file without any."""
-    rows = join_small(top.where("rank IS NOT NULL"), ok.select("path"), "path", "left_semi")
-    missing = ok.select("path").join(top.select("path").distinct(), "path", "left_anti")
-    return _shown(rows, section, F.col("rank"), {label: value}).unionByName(
-        _shown(missing, section, F.lit(0), {label: F.lit(none)})
-    )
+    rows = ok.select("path").join(top, "path", "left")
+    shown = F.when(F.col("rank").isNull(), F.lit(none)).otherwise(value)
+    return _shown(rows, section, F.coalesce("rank", F.lit(0)), {label: shown})
 
 
 def log_shown(metrics: DataFrame, levels: DataFrame, hours: DataFrame, top_errors: DataFrame, patterns: DataFrame):

@@ -108,11 +108,11 @@ def analyze(spark: SparkSession, roots: list[str], files: DataFrame) -> dict[str
     folder, which all metrics read; a second scan, with line numbers, yields
     the rejected lines.
     """
-    sales = SQ.check_sales(L.number_lines(L.scan_lines(spark, roots, "*.csv")))
+    sales = L.number_lines(L.scan_lines(spark, roots, "*.csv"))
     raw_log = L.scan_lines(spark, roots, "*.log")
     docs = L.scan_documents(spark, roots, "*.json")
 
-    cube = settle(SM.sales_cube(sales))
+    cube = settle(SM.sales_cube(SQ.check_sales(sales)))
     # Counting entries needs no line numbers.
     facts = settle(LM.log_facts(LQ.check_log(raw_log.select("path", F.lit(0).alias("line"), "value"))))
     judged = JQ.check_documents(docs)

@@ -75,9 +75,9 @@ def test_header(spark):
         "bad.csv": ["a,b", GOOD], "again.csv": [HEADER, HEADER], "only.csv": [HEADER],
     }
     checked = SQ.check_sales(lines(spark, files))
-    rejects = {r["path"]: (r["line"], r["error"]) for r in SQ.sales_rejects(checked).collect()}
+    rejects = {r["path"]: (r["line"], r["error"]) for r in SQ.sales_rejects(lines(spark, files)).collect()}
     assert rejects == {"bad.csv": (1, S.ERR_HEADER), "again.csv": (2, S.ERR_DATE)}
-    assert {r["path"] for r in SQ.valid_sales(checked).collect()} == {"ok.csv", "quoted.csv", "crlf.csv"}
+    assert {r["path"] for r in SQ.valid_sales(lines(spark, files)).collect()} == {"ok.csv", "quoted.csv", "crlf.csv"}
     status = {r["path"]: r["status"] for r in R.file_status(R.line_counts(checked), "csv").collect()}
     assert status == {
         "ok.csv": "ok", "quoted.csv": "ok", "crlf.csv": "ok", "bad.csv": "failed", "again.csv": "failed",
@@ -86,9 +86,10 @@ def test_header(spark):
 
 
 def test_stray_quote_fails_the_file(spark):
-    checked = SQ.check_sales(lines(spark, {"a.csv": [HEADER, GOOD, '2024-01-05,Lamp,"Home,1,1,0', "x"]}))
-    assert SQ.valid_sales(checked).count() == 0
-    assert [(r["line"], r["error"]) for r in SQ.sales_rejects(checked).collect()] == [(None, S.ERR_QUOTE)]
+    given = lines(spark, {"a.csv": [HEADER, GOOD, '2024-01-05,Lamp,"Home,1,1,0', "x"]})
+    checked = SQ.check_sales(given)
+    assert SQ.valid_sales(given).count() == 0
+    assert [(r["line"], r["error"]) for r in SQ.sales_rejects(given).collect()] == [(None, S.ERR_QUOTE)]
     row = SM.sales_metrics(SM.sales_cube(checked)).first()
     assert (row["total_sales"], row["unique_products"], row["top_product"], row["date_from"]) == (0.0, 0, None, None)
 
