@@ -24,8 +24,8 @@ def parse_documents(docs: DataFrame) -> DataFrame:
     sealed = "try_parse_json(concat('[', content, ',', xxhash64(content), ']'))"
     boxed = once(docs, ["path"], seal="xxhash64(content)", boxed=sealed)
     items = once(boxed, ["path", "seal"], items="try_variant_get(boxed, '$', 'array<variant>')")
-    whole = "size(items) = 2 AND try_variant_get(items[1], '$', 'bigint') = seal"
-    single = once(items, ["path"], root=f"CASE WHEN {whole} THEN items[0] END")
+    whole = "size(items) = 2 AND try_variant_get(get(items, 1), '$', 'bigint') = seal"
+    single = once(items, ["path"], root=f"CASE WHEN {whole} THEN get(items, 0) END")
     error = f"""CASE WHEN root IS NULL THEN '{S.ERR_JSON}'
                      WHEN NOT startswith(schema_of_variant(root), 'OBJECT') THEN '{S.ERR_JSON_ROOT}' END"""
     return once(single, ["path", "root"], error=error).selectExpr(

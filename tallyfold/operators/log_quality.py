@@ -26,14 +26,14 @@ def extract(lines: DataFrame) -> DataFrame:
     """``path, line, day, time, level, component, message``, NULL where the format is wrong."""
     names = ("day", "time", "level", "component", "message")
     return once(lines, ["path", "line"], g=_GROUPS).selectExpr(
-        "path", "line", *[f"CASE WHEN size(g) = 5 THEN g[{i}] END AS {n}" for i, n in enumerate(names)]
+        "path", "line", *[f"CASE WHEN size(g) = 5 THEN get(g, {i}) END AS {n}" for i, n in enumerate(names)]
     )
 
 
 def check_log(lines: DataFrame) -> DataFrame:
     """Every line with its verdict, error and, if valid, typed columns. No shuffle."""
     cut = once(lines, ["path", "line"], blank=f"NOT value RLIKE r'{_TEXT}'", g=_GROUPS)
-    at = strict.to_timestamp_ntz("concat(g[0], ' ', g[1])")
+    at = strict.to_timestamp_ntz("concat(get(g, 0), ' ', get(g, 1))")
     typed = once(cut, ["path", "line", "blank", "g"], ts=f"CASE WHEN size(g) = 5 THEN {at} END")
     error = f"""CASE WHEN blank THEN NULL WHEN size(g) <> 5 THEN '{S.ERR_LOG_FORMAT}'
                      WHEN ts IS NULL THEN '{S.ERR_TIMESTAMP}' END"""

@@ -51,7 +51,7 @@ def split_fields(lines: DataFrame) -> DataFrame:
     cut = once(
         content, ["path", "line", "value"], has_quote="contains(value, '\"')", pieces="split(value, ',', -1)"
     )
-    torn = f"size(pieces) > {n} AND startswith(pieces[1], '\"') AND NOT endswith(pieces[1], '\"')"
+    torn = f"size(pieces) > {n} AND startswith(get(pieces, 1), '\"') AND NOT endswith(get(pieces, 1), '\"')"
     rest = r"regexp_replace(value, r'\A([^,]*),[^,]*,((?:[^,]*,){3})', '$1,,$2')"
     cut = once(
         cut, ["path", "line", "value", "has_quote", "pieces"],

@@ -24,6 +24,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on."""
     for key, value in _RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # Without it the size of input splits follows the number of executors at
+    # hand, so two scans of one file could be cut differently.
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     return spark
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallyfold.session import join_small
+from tallyfold.session import join_small, prepare
 
 
 def scan_lines(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
@@ -13,7 +13,7 @@ def scan_lines(spark: SparkSession, paths, glob: str | None = None) -> DataFrame
     ``block`` is the start of the input split the line was read from and
     ``seq`` grows within it, so ``(path, block, seq)`` is the file order.
     """
-    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
+    reader = prepare(spark).read.option("lineSep", "\n").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(paths).select(
@@ -29,16 +29,20 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
     Lines are never shuffled to be numbered. One small row per input split
     (its first ``seq`` and line count) is summed along the file, and joined
-    back on ``(path, block)``; a key is one split, so no key is hot.
+    back on ``(path, block)``; a key is one split, so no key is hot. Should a
+    scan ever be cut differently from the one that was counted, the job fails
+    instead of losing or misnumbering lines.
     """
     splits = lines.groupBy("path", "block").agg(F.min("seq").alias("first_seq"), F.count(F.lit(1)).alias("n"))
     along = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select(
-        "path", "block", "first_seq", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("lines_before")
+        "path", "block", "first_seq", "n", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("lines_before")
     )
-    return join_small(lines, splits, ["path", "block"], "inner").select(
-        "path", (F.col("lines_before") + F.col("seq") - F.col("first_seq") + 1).alias("line"), "value"
+    offset = F.col("seq") - F.col("first_seq")
+    line = F.when((offset >= 0) & (offset < F.col("n")), F.col("lines_before") + offset + 1).otherwise(
+        F.raise_error(F.lit("input splits changed between two scans")).cast("bigint")
     )
+    return join_small(lines, splits, ["path", "block"], "left").select("path", line.alias("line"), "value")
 
 
 def scan_documents(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:

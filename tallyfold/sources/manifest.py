@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyfold.functions.text import extension
 from tallyfold.schemas import DETAILS, SUPPORTED_EXTENSIONS
+from tallyfold.session import join_small
 
 
 def manifest(spark: SparkSession, paths) -> DataFrame:
@@ -57,14 +58,15 @@ def discovery_errors(requested: DataFrame, files: DataFrame) -> DataFrame:
     ``requested`` may say in a column ``exists`` which inputs are known to
     exist, which tells an empty folder from an absent one.
     """
+    if "exists" not in requested.columns:
+        requested = requested.withColumn("exists", F.lit(False))
+    requested = requested.groupBy("input").agg(F.bool_or("exists").alias("exists"))
     keys = files.select("path", F.explode(_ancestors(F.col("path"))).alias("input"))
+    keys = join_small(keys, requested.select("input"), "input", "left_semi")
     found = keys.groupBy("input").agg(
         F.bool_or(F.col("path") == F.col("input")).alias("is_file"),
         F.bool_or(supported(F.col("path"))).alias("any_supported"),
     )
-    if "exists" not in requested.columns:
-        requested = requested.withColumn("exists", F.lit(False))
-    requested = requested.groupBy("input").agg(F.bool_or("exists").alias("exists"))
     ext = extension(F.col("input"))
     reason = (
         F.when(F.col("is_file") & ~F.col("any_supported"), "unsupported_format")
