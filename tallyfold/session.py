@@ -55,9 +55,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise a reduced table in the shared folder and cut its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write a reduced table to the shared folder once and go on from there.
+
+    Like a checkpoint it cuts the lineage and survives lost executors, but the
+    plan is run only once, and later readers take just the columns they need.
+    """
+    folder = new_folder(df.sparkSession, "settled")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def join_small(left: DataFrame, right: DataFrame, on, how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
