@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,8 +35,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where neither that
-    nor a checkpoint folder is set, as in tests, is one created.
+    A cluster names it in ``spark.checkpoint.dir``. Only on a local master,
+    as in tests, is one created where neither that nor a checkpoint folder is
+    set; elsewhere a machine-local folder would lose rows, so it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -44,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     existing = spark.sparkContext.getCheckpointDir()
     if existing is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         existing = tempfile.mkdtemp(prefix="tallyfold-")
         spark.sparkContext.setCheckpointDir(existing)
     return existing.rstrip("/")
