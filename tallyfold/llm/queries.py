@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import simhash
+from tallyfold.llm import decontaminate, secrets, simhash
 from tallyfold.llm.common import table
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scans": op1_secret_scans,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {}
