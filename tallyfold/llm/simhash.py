@@ -26,7 +26,7 @@ SEED = 42
 # Fingerprints the upper tree is built from, at most (8 bytes each, on the driver).
 SAMPLE = 65_536
 # Fingerprints a shard should be home to, and the shards there may be.
-SHARD = 4_096
+SHARD = 65_536
 MAX_SHARDS = 2_048
 # A shard's own tree ends at this many fingerprints.
 LEAF = 1_024
