@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import decontaminate, secrets, simhash
+from tallyfold.llm import decontaminate, quality, secrets, sharding, simhash, warc
 from tallyfold.llm.common import table
 
 
@@ -18,6 +18,18 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -25,6 +37,9 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_warc": op4_warc,
+    "op5_sharding": op5_sharding,
+    "op6_quality_rules": op6_quality_rules,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
