@@ -27,10 +27,16 @@ CALIBRATE = 5
 # Share of calibration texts that lie within the limit, and how far beyond it a text must be to be rejected.
 QUANTILE = 0.999
 MARGIN = 1.5
+# Nats per character that any text may lie above its language's mean, however long it is.
+LEEWAY = 0.7
 # Divides log-likelihoods before they are compared as probabilities, since neighbouring n-grams are not independent.
 TEMPERATURE = 4.0
 UNKNOWN = "und"
+# A text with more nats per character than this is mostly of letters that its best language has never had.
+MOST_ENTROPY = 6.0
 _SPACE, _ASTRAL = 32, 1
+# Below single characters all keys are equally likely.
+_KEYS = 65_536
 _SLICE = 1 << 18
 
 
@@ -93,7 +99,6 @@ class _Language:
         for n in range(ORDER - 1, 0, -1):
             # Below the highest order an n-gram counts once for each character seen before it.
             found[n] = np.unique(_suffix(found[n + 1][0], n), return_counts=True)
-        self.alphabet = len(found[1][0]) + 1
         for n in range(1, ORDER + 1):
             keys, counts = found[n]
             ones, twos = np.count_nonzero(counts == 1), np.count_nonzero(counts == 2)
@@ -107,7 +112,7 @@ class _Language:
 
     def prob(self, n: int, keys: np.ndarray) -> np.ndarray:
         if n == 0:
-            return np.full(len(keys), 1 / self.alphabet)
+            return np.full(len(keys), 1 / _KEYS)
         at, known = _find(self.keys[n], keys)
         out = np.empty(len(keys))
         out[known] = self.p[n][at[known]]
@@ -129,7 +134,6 @@ class Model:
     log_p: dict[int, np.ndarray] = field(default_factory=dict)
     context: dict[int, np.ndarray] = field(default_factory=dict)
     log_back: dict[int, np.ndarray] = field(default_factory=dict)
-    floor: np.ndarray | None = None
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
 
@@ -145,14 +149,13 @@ class Model:
             model.log_p[n] = np.log(np.stack([p.prob(n, model.keys[n]) for p in parts], axis=1)).astype(np.float32)
             model.log_back[n] = np.log(np.stack([p.weight(n, model.context[n]) for p in parts], axis=1)).astype(np.float32)
         if parts:
-            model.floor = np.log([1 / p.alphabet for p in parts]).astype(np.float32)
             model.mean, model.spread = np.zeros(len(parts)), np.full(len(parts), np.inf)
         return model
 
     def log_probs(self, keys: np.ndarray, n: int = ORDER) -> np.ndarray:
         """Log-probability of each n-gram's last character after the others, a column for each language."""
         if n == 0:
-            return np.broadcast_to(self.floor, (len(keys), len(self.languages)))
+            return np.full((len(keys), len(self.languages)), -np.log(_KEYS), np.float32)
         at, known = _find(self.keys[n], keys)
         out = self.log_p[n][at]
         missing = np.flatnonzero(~known)
@@ -205,7 +208,8 @@ class Model:
         weights = np.exp((sums - sums.max(axis=1, keepdims=True)) / TEMPERATURE)
         score = 1 / weights.sum(axis=1)
         entropy = -sums.max(axis=1) / np.maximum(n, 1)
-        limit = self.mean[best] + MARGIN * np.maximum(self.spread[best] / np.sqrt(np.maximum(n, 1)), 0.25)
+        limit = self.mean[best] + MARGIN * np.maximum(self.spread[best] / np.sqrt(np.maximum(n, 1)), LEEWAY)
+        limit = np.minimum(limit, MOST_ENTROPY)
         return [
             (self.languages[b], float(s), float(e), bool(e > x))
             for b, s, e, x in zip(best.tolist(), score, entropy, limit, strict=True)

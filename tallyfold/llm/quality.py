@@ -16,10 +16,11 @@ MIN_WORDS = 10
 WINDOW = 5
 MAX_REPEATED_PERCENT = 20
 SYMBOLS = "#*$%&|<>"
-# Lines. A share is one of the line's characters or words.
+# Lines. Shares are of the characters or words of a line; letters are counted
+# among the characters in words, capitals among letters.
 MAX_SYMBOL_SHARE = 0.1
 MAX_BAR_SHARE = 0.2
-MIN_LETTER_SHARE = 0.5
+MIN_LETTER_SHARE = 0.4
 MAX_CAPITAL_SHARE = 0.8
 # Capitals and letters are only judged in lines of at least so many words.
 JUDGED_WORDS = 5
@@ -61,7 +62,7 @@ def line_fault(line: str, words: list) -> str | None:
         return "symbols"
     if len(words) >= JUDGED_WORDS:
         letters = [c for c in line if c.isalpha()]
-        if len(letters) < MIN_LETTER_SHARE * n:
+        if len(letters) < MIN_LETTER_SHARE * sum(map(len, words)):
             return "letters"
         if sum(map(str.isupper, letters)) > MAX_CAPITAL_SHARE * len(letters):
             return "capitals"
