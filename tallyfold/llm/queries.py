@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import decontaminate, language, quality, secrets, sharding, simhash, warc
+from tallyfold.llm import decontaminate, language, pieces, quality, secrets, sharding, simhash, warc
 from tallyfold.llm.common import table
 
+# The public tokenizer of the box; another installation names its own file.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
@@ -38,6 +41,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
@@ -46,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_sentencepiece_nbest": op9_sentencepiece_nbest,
 }
 
 SQL: dict[str, str] = {}
