@@ -44,3 +44,17 @@ def utf8(column: pa.Array) -> list[bytes]:
 def spans_of(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of pieces whose lengths add up to ``ends``."""
     return np.concatenate(([0], ends[:-1])), ends
+
+
+class Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a table of the shared folder that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import decontaminate, language, pieces, quality, secrets, sharding, simhash, warc
+from tallyfold.llm import decontaminate, language, pieces, pitman_yor, quality, secrets, sharding, simhash, warc
 from tallyfold.llm.common import table
 
 # The public tokenizer of the box; another installation names its own file.
@@ -45,6 +45,10 @@ def op9_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.by_checksum(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_sentencepiece_nbest": op9_sentencepiece_nbest,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 SQL: dict[str, str] = {}
