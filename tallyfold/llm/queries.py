@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import decontaminate, language, pieces, pitman_yor, quality, secrets, sharding, simhash, warc
+from tallyfold.llm import decontaminate, language, pieces, pii, pitman_yor, quality, secrets, sharding, simhash, warc
 from tallyfold.llm.common import table
 
 # The public tokenizer of the box; another installation names its own file.
@@ -17,6 +17,10 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_pii": op2_pii,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
