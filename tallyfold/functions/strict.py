@@ -14,8 +14,9 @@ def to_double(text: str) -> str:
     return f"CASE WHEN {shape} AND abs({value}) < double('Infinity') THEN {value} END"
 
 
-def to_bigint(text: str) -> str:
-    return rf"CASE WHEN {text} RLIKE r'\A[+-]?\d+\z' THEN try_cast({text} AS BIGINT) END"
+def to_integer(text: str) -> str:
+    """An integer of up to 38 digits, the widest exact number there is; longer ones are NULL."""
+    return rf"CASE WHEN {text} RLIKE r'\A[+-]?\d+\z' THEN try_cast({text} AS DECIMAL(38,0)) END"
 
 
 def to_date(text: str) -> str:

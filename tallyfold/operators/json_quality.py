@@ -14,30 +14,45 @@ from tallyfold.functions.once import once
 from tallyfold.operators.verdict import REJECT, VALID, is_valid
 
 
+# The lists of a document and the fields the metrics read.
+USERS, SESSIONS = "usuarios", "sesiones"
+ACTIVE, DURATION, PAGES, ACTIONS, START = (
+    "activo", "duracion_segundos", "paginas_visitadas", "acciones", "inicio",
+)
+
+
 def parse_documents(docs: DataFrame) -> DataFrame:
-    """``path, doc, error``: strict JSON with an object at the root.
+    """``path, users, sessions, keys, error``: strict JSON with an object at the root.
 
-    A bare parse ignores text after the first value. So the text is parsed as
+    A bare parse ignores text after the first value. So the text is read as
     the first of two elements, followed by a hash of itself: only if the text
     is exactly one value is the array's second and last element that hash.
+    The reading is a stream in which only the items of the two lists become
+    values, so no limit applies to the size of a document.
     """
-    sealed = "try_parse_json(concat('[', content, ',', xxhash64(content), ']'))"
-    boxed = once(docs, ["path"], seal="xxhash64(content)", boxed=sealed)
-    items = once(boxed, ["path", "seal"], items="try_variant_get(boxed, '$', 'array<variant>')")
-    whole = "size(items) = 2 AND try_variant_get(get(items, 1), '$', 'bigint') = seal"
-    single = once(items, ["path"], root=f"CASE WHEN {whole} THEN get(items, 0) END")
-    error = f"""CASE WHEN root IS NULL THEN '{S.ERR_JSON}'
-                     WHEN NOT startswith(schema_of_variant(root), 'OBJECT') THEN '{S.ERR_JSON_ROOT}' END"""
-    return once(single, ["path", "root"], error=error).selectExpr(
-        "path", "CASE WHEN error IS NULL THEN root END AS doc", "error"
+    schema = f"ARRAY<STRUCT<{USERS}: ARRAY<VARIANT>, {SESSIONS}: ARRAY<VARIANT>, seal: BIGINT>>"
+    sealed = "concat('[', content, ',{\"seal\":', xxhash64(content), '}]')"
+    strict_json = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+    # A root of another kind only has to be told from malformed text.
+    other = "concat('[{\"root\":', content, '},{\"seal\":', xxhash64(content), '}]')"
+    rooted = once(docs, ["path", "content"], seal="xxhash64(content)", object=r"content RLIKE r'\A\s*\{'")
+    boxed = once(
+        rooted, ["path", "content", "seal", "object"],
+        boxed=f"""CASE WHEN object THEN from_json({sealed}, '{schema}', {strict_json})
+                       ELSE from_json({other}, '{schema}', {strict_json}) END""",
+    )
+    # An empty text leaves the seal as the only element.
+    whole = "coalesce(size(boxed) = 2 AND get(boxed, 1).seal = seal, false)"
+    # The keys tell a list that is not there from one that is no list.
+    missing = f"get(boxed, 0).{USERS} IS NULL OR get(boxed, 0).{SESSIONS} IS NULL"
+    return once(
+        boxed, ["path"],
+        error=f"""CASE WHEN NOT {whole} THEN '{S.ERR_JSON}'
+                       WHEN NOT object THEN '{S.ERR_JSON_ROOT}' END""",
+        users=f"CASE WHEN {whole} THEN get(boxed, 0).{USERS} END",
+        sessions=f"CASE WHEN {whole} THEN get(boxed, 0).{SESSIONS} END",
+        keys=f"CASE WHEN {whole} AND ({missing}) THEN json_object_keys(content) END",
     )
-
-
-# The lists of a document and the fields the metrics read.
-USERS, SESSIONS = "usuarios", "sesiones"
-ACTIVE, DURATION, PAGES, ACTIONS, START = (
-    "activo", "duracion_segundos", "paginas_visitadas", "acciones", "inicio",
-)
 
 
 def _type(value: str, field: str) -> str:
@@ -58,8 +73,8 @@ def find_violations(parsed: DataFrame) -> DataFrame:
     """Add ``violation``: the first field whose type the metrics cannot read."""
     no_object = "NOT startswith(schema_of_variant(x), 'OBJECT')"
     checks = [
-        (USERS, f"NOT startswith({_type('doc', USERS)}, 'ARRAY')"),
-        (SESSIONS, f"NOT startswith({_type('doc', SESSIONS)}, 'ARRAY')"),
+        (USERS, f"users IS NULL AND coalesce(array_contains(keys, '{USERS}'), false)"),
+        (SESSIONS, f"sessions IS NULL AND coalesce(array_contains(keys, '{SESSIONS}'), false)"),
         (USERS, _some("users", no_object)),
         (SESSIONS, _some("sessions", no_object)),
         (ACTIVE, _some("users", f"{_type('x', ACTIVE)} <> 'BOOLEAN'")),
@@ -68,11 +83,7 @@ def find_violations(parsed: DataFrame) -> DataFrame:
         (ACTIONS, _some("sessions", f"NOT startswith({_type('x', ACTIONS)}, 'ARRAY')")),
     ]
     found = " ".join(f"WHEN {test} THEN '{name}'" for name, test in checks)
-    lists = once(
-        parsed, ["path", "doc", "error"],
-        **{n: f"try_variant_get(doc, '$.{f}', 'array<variant>')" for n, f in (("users", USERS), ("sessions", SESSIONS))},
-    )
-    return once(lists, ["path", "doc", "error", "users", "sessions"], violation=f"CASE {found} END")
+    return once(parsed, ["path", "error", "users", "sessions"], violation=f"CASE {found} END")
 
 
 def check_documents(docs: DataFrame) -> DataFrame:

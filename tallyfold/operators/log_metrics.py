@@ -15,8 +15,9 @@ TOP = 5
 PIECE_SECONDS = 86_400
 
 
-def total_entries(entries: DataFrame) -> DataFrame:
-    return entries.groupBy("path").agg(F.count(F.lit(1)).alias("total_entries"))
+def total_entries(checked: DataFrame) -> DataFrame:
+    """Entries of every file of a checked table, 0 where no line is valid."""
+    return checked.groupBy("path").agg(F.count_if(is_valid()).alias("total_entries"))
 
 
 def by_level(entries: DataFrame) -> DataFrame:
@@ -27,9 +28,14 @@ def by_hour(entries: DataFrame) -> DataFrame:
     return entries.groupBy("path", F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_component(entries: DataFrame) -> DataFrame:
-    """The component with the most critical entries."""
-    counts = critical(entries).groupBy("path", "component").agg(F.count(F.lit(1)).alias("n"))
+def _if_critical(value: str) -> Column:
+    """A column of a checked table where the line is a critical entry, else NULL."""
+    return F.when(is_valid() & F.col("level").isin(*S.CRITICAL_LEVELS), F.col(value))
+
+
+def top_component(checked: DataFrame) -> DataFrame:
+    """The component of every file with the most critical entries, NULL where there are none."""
+    counts = checked.groupBy("path", _if_critical("component").alias("component")).agg(F.count(F.lit(1)).alias("n"))
     return _best_component(counts)
 
 
@@ -62,20 +68,23 @@ def patterns(counts: DataFrame) -> DataFrame:
     return best.where((F.col("n") >= 2) | (F.col("rank") == 1)).select("path", "rank", "pattern", "n")
 
 
-def second_counts(entries: DataFrame) -> DataFrame:
-    return critical(entries).groupBy("path", "ts").agg(F.count(F.lit(1)).alias("n"))
+def second_counts(checked: DataFrame) -> DataFrame:
+    """Critical entries by second; all other lines of a file are one row without a second."""
+    return checked.groupBy("path", _if_critical("ts").alias("ts")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def error_gaps(seconds: DataFrame) -> DataFrame:
     """Seconds between consecutive critical entries: ``n, avg, min, max`` per file.
 
-    ``seconds`` has one row per distinct ``(path, ts)``. Entries of the same
-    second are gaps of 0; the mean is the whole span over the gap count. The
+    ``seconds`` has one row per distinct ``(path, ts)``; a row without a second
+    only names the file, whose row says 0 gaps if it has no other. Entries of
+    the same second are gaps of 0; the mean is the whole span over the gap count. The
     smallest and largest steps are looked up within pieces of one day, so no
     task sorts more than 86,400 rows, and then across the piece borders.
     """
     at = F.unix_seconds(F.col("ts").cast("timestamp"))
-    points = seconds.select("path", "n", at.alias("at"), F.floor(at / PIECE_SECONDS).alias("piece"))
+    n = F.when(F.col("ts").isNotNull(), F.col("n"))
+    points = seconds.select("path", n.alias("n"), at.alias("at"), F.floor(at / PIECE_SECONDS).alias("piece"))
     inside = Window.partitionBy("path", "piece").orderBy("at")
     steps = points.withColumn("step", F.col("at") - F.lag("at").over(inside))
     pieces = steps.groupBy("path", "piece").agg(
@@ -89,7 +98,7 @@ def error_gaps(seconds: DataFrame) -> DataFrame:
     across = Window.partitionBy("path").orderBy("piece")
     pieces = pieces.withColumn("border", F.col("first") - F.lag("last").over(across))
     files = pieces.groupBy("path").agg(
-        (F.sum("n") - 1).alias("gap_count"),
+        F.greatest(F.coalesce(F.sum("n"), F.lit(0)) - 1, F.lit(0)).alias("gap_count"),
         (F.max("last") - F.min("first")).alias("span"),
         F.max("densest").alias("densest"),
         F.min(F.least("min_step", "border")).alias("min_step"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyfold.operators.sales_metrics import cube_sales
 from tallyfold.session import join_small
 from tallyfold.operators.verdict import any_fatal, is_reject, is_valid
 
@@ -66,7 +67,7 @@ def sales_totals(cube: DataFrame) -> DataFrame:
     )
     rows = join_small(cube, ok_paths(counts), "path", "left_semi")
     return rows.agg(
-        F.coalesce(F.sum("net"), F.lit(0.0)).alias("total_sales"),
+        F.coalesce(cube_sales(), F.lit(0.0)).alias("total_sales"),
         F.count_distinct(F.when(F.col("n_valid") > 0, F.col("product"))).alias("unique_products"),
     )
 

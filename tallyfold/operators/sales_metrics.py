@@ -16,8 +16,28 @@ def _unless_failed(value: Column, empty: Column, failed: Column | None = None) -
     return F.when(any_fatal() if failed is None else failed, empty).otherwise(F.coalesce(value, empty))
 
 
+# Amounts are added as decimals, so that a sum does not depend on the order of
+# its rows; amounts of 30 digits and more are beyond them and added as doubles.
+_EXACT = "decimal(38,9)"
+
+
+def exact(amount: str) -> Column:
+    return F.col(amount).try_cast(_EXACT)
+
+
+def beyond(amount: str) -> Column:
+    """What ``exact`` leaves out."""
+    return F.when(exact(amount).isNull(), F.col(amount))
+
+
+def exact_sum(amount: str) -> Column:
+    """Aggregate: the sum of amounts, rounded once at the end."""
+    small, large = F.sum(exact(amount)).cast("double"), F.sum(beyond(amount))
+    return F.when(large.isNull(), small).otherwise(large + F.coalesce(small, F.lit(0.0)))
+
+
 def total_sales(checked: DataFrame) -> DataFrame:
-    return checked.groupBy("path").agg(_unless_failed(F.sum("net"), F.lit(0.0)).alias("total_sales"))
+    return checked.groupBy("path").agg(_unless_failed(exact_sum("net"), F.lit(0.0)).alias("total_sales"))
 
 
 def unique_products(checked: DataFrame) -> DataFrame:
@@ -25,25 +45,25 @@ def unique_products(checked: DataFrame) -> DataFrame:
     return checked.groupBy("path").agg(_unless_failed(n, F.lit(0).cast("bigint")).alias("unique_products"))
 
 
-def _top(checked: DataFrame, key: str, measure: str, name: str, value: str) -> DataFrame:
-    sums = checked.groupBy("path", key).agg(F.sum(measure).alias("v"), any_fatal().alias("fatal"))
+def _top(checked: DataFrame, key: str, total: Column, name: str, value: str) -> DataFrame:
+    sums = checked.groupBy("path", key).agg(total.alias("v"), any_fatal().alias("fatal"))
     best = sums.groupBy("path").agg(arg_max(F.col("v"), F.col(key)).alias("best"), any_fatal().alias("failed"))
     shown = F.when(~F.col("failed"), F.col("best"))
     return best.select("path", shown["key"].alias(name), (-shown["neg"]).alias(value))
 
 
 def top_product(checked: DataFrame) -> DataFrame:
-    """The product with the most units."""
-    return _top(checked, "product", "quantity", "top_product", "top_product_units")
+    """The product with the most units; a total beyond 38 digits is the most, shown as NULL."""
+    return _top(checked, "product", F.try_sum("quantity"), "top_product", "top_product_units")
 
 
 def top_category(checked: DataFrame) -> DataFrame:
     """The category with the highest revenue."""
-    return _top(checked, "category", "net", "top_category", "top_category_revenue")
+    return _top(checked, "category", exact_sum("net"), "top_category", "top_category_revenue")
 
 
 def average_discount(checked: DataFrame) -> DataFrame:
-    return checked.groupBy("path").agg(_unless_failed(F.avg("discount_pct"), F.lit(0.0)).alias("avg_discount_pct"))
+    return checked.groupBy("path").agg(_unless_failed(exact_sum("discount_pct") / F.count("discount_pct"), F.lit(0.0)).alias("avg_discount_pct"))
 
 
 def date_range(checked: DataFrame) -> DataFrame:
@@ -65,30 +85,37 @@ def sales_cube(checked: DataFrame) -> DataFrame:
         F.count_if(is_valid()).alias("n_valid"),
         F.count_if(is_reject()).alias("n_reject"),
         any_fatal().alias("fatal"),
-        F.sum("net").alias("net"),
-        F.sum("quantity").alias("units"),
-        F.sum("discount_pct").alias("discount"),
+        F.sum(exact("net")).alias("net"),
+        F.sum(beyond("net")).alias("net_beyond"),
+        F.try_sum("quantity").alias("units"),
+        F.sum(exact("discount_pct")).alias("discount"),
         F.min("date").alias("date_from"),
         F.max("date").alias("date_to"),
     )
 
 
+def cube_sales() -> Column:
+    """Aggregate over cube rows: their sales."""
+    small, large = F.sum("net").cast("double"), F.sum("net_beyond")
+    return F.when(large.isNull(), small).otherwise(large + F.coalesce(small, F.lit(0.0)))
+
+
 def sales_metrics(cube: DataFrame) -> DataFrame:
     """All sales metrics and line counts, one row per file, from the cube."""
     files = cube.groupBy("path").agg(
         F.sum("n_valid").alias("n_valid"),
         F.sum("n_reject").alias("n_reject"),
         any_fatal().alias("failed"),
-        F.sum("net").alias("net"),
-        F.sum("discount").alias("discount"),
+        cube_sales().alias("net"),
+        F.sum("discount").cast("double").alias("discount"),
         F.min("date_from").alias("date_from"),
         F.max("date_to").alias("date_to"),
     )
-    products = cube.groupBy("path", "product").agg(F.sum("units").alias("v"))
+    products = cube.groupBy("path", "product").agg(F.try_sum("units").alias("v"))
     products = products.groupBy("path").agg(
         F.count("product").alias("unique_products"), arg_max(F.col("v"), F.col("product")).alias("p")
     )
-    categories = cube.groupBy("path", "category").agg(F.sum("net").alias("v"))
+    categories = cube.groupBy("path", "category").agg(cube_sales().alias("v"))
     categories = categories.groupBy("path").agg(arg_max(F.col("v"), F.col("category")).alias("c"))
     failed = F.col("failed")
     shown = lambda c: F.when(~failed, c)

@@ -87,7 +87,7 @@ def check_sales(lines: DataFrame) -> DataFrame:
         ["path", "line", "value", "six", "stray_quote", "product", "category"],
         date=strict.to_date("raw_date"),
         unit_price=strict.to_double("raw_unit_price"),
-        quantity=strict.to_bigint("raw_quantity"),
+        quantity=strict.to_integer("raw_quantity"),
         discount_pct=strict.to_double("raw_discount"),
     )
     # Fixed order: the first check that fails names the error.

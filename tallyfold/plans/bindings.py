@@ -114,12 +114,13 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spread(table(spark, sf_dir, "events"), "event_id").selectExpr(
         f"concat('app_', event_id div {n}, '.log') AS path",
         f"event_id % {n} + 1 AS line",
-        f"CASE WHEN (event_id div {n}) % 4 = 3 THEN event_id % 17 ELSE -1 END AS fault",
+        f"CASE WHEN (event_id div {n}) % 9 = 7 THEN 0 WHEN (event_id div {n}) % 4 = 3 THEN event_id % 17 ELSE -1 END AS fault",
         "CASE WHEN event_id % 29 = 0 THEN '  ' ELSE ' ' END AS gap",
         "date_format(ts, 'yyyy-MM-dd') AS day",
         "date_format(ts, 'HH:mm:ss') AS time",
-        """CASE event_type WHEN 'view' THEN 'INFO' WHEN 'click' THEN 'DEBUG' WHEN 'signup' THEN 'WARN'
-             WHEN 'error' THEN 'ERROR' ELSE 'FATAL' END AS level""",
+        # Some files have no critical entry, some no entry at all.
+        f"""CASE WHEN (event_id div {n}) % 6 = 4 THEN 'INFO' ELSE CASE event_type WHEN 'view' THEN 'INFO'
+             WHEN 'click' THEN 'DEBUG' WHEN 'signup' THEN 'WARN' WHEN 'error' THEN 'ERROR' ELSE 'FATAL' END END AS level""",
         "concat('c', user_id % 7) AS component",
         """CASE event_type
              WHEN 'error' THEN concat('timeout', CASE WHEN event_id % 3 = 0 THEN '  ' ELSE ' ' END,
@@ -180,7 +181,10 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).groupBy("k").agg(F.array_sort(F.collect_list("u")).alias("usuarios"))
     text = users.join(sessions, "k", "full").selectExpr(
         "k",
-        "to_json(named_struct('timestamp', '2024-02-29T12:00:00Z', 'usuarios', usuarios, 'sesiones', sesiones)) AS doc",
+        # Some documents lack a list, some have an empty one.
+        """to_json(named_struct('timestamp', '2024-02-29T12:00:00Z',
+             'usuarios', CASE k % 15 WHEN 2 THEN NULL WHEN 6 THEN slice(usuarios, 1, 0) ELSE usuarios END,
+             'sesiones', CASE k % 15 WHEN 3 THEN NULL WHEN 7 THEN slice(sesiones, 1, 0) ELSE sesiones END)) AS doc""",
     )
     return text.selectExpr(
         "concat('users_', k, '.json') AS path",

@@ -51,6 +51,11 @@ def _round(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
+def _whole(df: DataFrame, *names: str) -> DataFrame:
+    """Exact wide numbers as bigint; the given tables hold no wider ones."""
+    return df.withColumns({n: F.col(n).cast("bigint") for n in names})
+
+
 def _landed(lines: DataFrame, label: str) -> str:
     folder = new_folder(lines.sparkSession, label)
     K.land_lines(lines, folder)
@@ -186,7 +191,7 @@ register("csv_float_check", _check_sql(
     "f_price", "CASE WHEN fault = 1 THEN -1 ELSE 1 END * CAST(price AS DOUBLE)", "fault IN (6, 10)"))(
     _field_check("raw_unit_price", strict.to_double))
 register("csv_int_check", _check_sql("f_qty", "CASE WHEN fault = 7 THEN 0 ELSE qty END", "fault IN (0, 12, 15)"))(
-    _field_check("raw_quantity", strict.to_bigint))
+    lambda spark, sf: _whole(_field_check("raw_quantity", strict.to_integer)(spark, sf), "value"))
 
 
 @register("csv_positive_check", O.with_ctes("""
@@ -199,7 +204,7 @@ def q_positive(spark, sf):
     return raw.select(
         "path", "line",
         (F.expr(strict.to_double("raw_unit_price")) > 0).alias("price_positive"),
-        (F.expr(strict.to_bigint("raw_quantity")) > 0).alias("quantity_positive"),
+        (F.expr(strict.to_integer("raw_quantity")) > 0).alias("quantity_positive"),
     )
 
 
@@ -215,7 +220,8 @@ def q_discount(spark, sf):
 SELECT path, CAST(line AS BIGINT) AS line, dt AS date, product, category, CAST(price AS DOUBLE) AS unit_price,
   qty AS quantity, CAST(disc AS DOUBLE) AS discount_pct FROM s_valid""", O.SALES))
 def q_valid(spark, sf):
-    return SQ.valid_sales(B.sales_lines(spark, sf)).drop("gross", "net")
+    rows = SQ.valid_sales(B.sales_lines(spark, sf)).drop("gross", "net")
+    return _whole(rows, "quantity")
 
 
 @register("csv_rejects", O.with_ctes("SELECT path, line, error FROM s_reject", O.SALES))
@@ -324,7 +330,7 @@ def q_unique(spark, sf):
 SELECT path, product AS top_product, v AS top_product_units FROM s_file LEFT JOIN m_prod USING (path)""",
     O.SALES, O.SALES_METRICS))
 def q_top_product(spark, sf):
-    return SM.top_product(_sales(spark, sf))
+    return _whole(SM.top_product(_sales(spark, sf)), "top_product_units")
 
 
 @register("csv_top_category", O.with_ctes("""
@@ -356,30 +362,33 @@ FROM s_file LEFT JOIN m_sum USING (path) LEFT JOIN m_prod USING (path) LEFT JOIN
     O.SALES, O.SALES_METRICS))
 def q_csv_metrics(spark, sf):
     metrics = SM.sales_metrics(settle(SM.sales_cube(_sales(spark, sf)))).drop("n_reject")
+    metrics = _whole(metrics, "top_product_units")
     return _round(_round(metrics, 2, "total_sales", "top_category_revenue"), 6, "avg_discount_pct")
 
 
 # --- document metrics ----------------------------------------------------------------
 
-@register("json_user_counts", O.with_ctes("SELECT * FROM j_uc", O.JSON))
+@register("json_user_counts", O.with_ctes("SELECT path, coalesce(total_users, 0) AS total_users, coalesce(active_users, 0) AS active_users,"
+    " coalesce(inactive_users, 0) AS inactive_users FROM j_docs LEFT JOIN j_uc USING (path) WHERE error IS NULL", O.JSON))
 def q_user_counts(spark, sf):
-    return JM.user_counts(JQ.users(_json(spark, sf)))
+    return JM.user_counts(_json(spark, sf))
 
 
 @register("json_avg_session", O.with_ctes(
-    "SELECT path, round(avg_session_seconds, 6) AS avg_session_seconds FROM j_sc", O.JSON))
+    "SELECT path, round(coalesce(avg_session_seconds, 0.0), 6) AS avg_session_seconds"
+    " FROM j_docs LEFT JOIN j_sc USING (path) WHERE error IS NULL", O.JSON))
 def q_avg_session(spark, sf):
-    return _round(JM.session_totals(_sessions(spark, sf)).drop("total_pages"), 6, "avg_session_seconds")
+    return _round(JM.session_totals(_json(spark, sf)).drop("total_pages"), 6, "avg_session_seconds")
 
 
-@register("json_total_pages", O.with_ctes("SELECT path, total_pages FROM j_sc", O.JSON))
+@register("json_total_pages", O.with_ctes("SELECT path, coalesce(total_pages, 0.0) AS total_pages FROM j_docs LEFT JOIN j_sc USING (path) WHERE error IS NULL", O.JSON))
 def q_total_pages(spark, sf):
-    return JM.session_totals(_sessions(spark, sf)).drop("avg_session_seconds")
+    return JM.session_totals(_json(spark, sf)).drop("avg_session_seconds")
 
 
-@register("json_peak_hour", O.with_ctes("SELECT * FROM j_peak", O.JSON))
+@register("json_peak_hour", O.with_ctes("SELECT path, peak_hour, peak_sessions FROM j_docs LEFT JOIN j_peak USING (path) WHERE error IS NULL", O.JSON))
 def q_peak_hour(spark, sf):
-    return JM.peak_hour(JQ.session_hours(_sessions(spark, sf)))
+    return JM.peak_hour(_json(spark, sf))
 
 
 @register("json_top_actions", O.with_ctes("SELECT path, rank, action, n FROM j_top", O.JSON))
@@ -400,9 +409,9 @@ def q_json_metrics(spark, sf):
 
 # --- log metrics ----------------------------------------------------------------------
 
-@register("log_total_entries", O.with_ctes("SELECT path, count(*) AS total_entries FROM l_valid GROUP BY path", O.LOG))
+@register("log_total_entries", O.with_ctes("SELECT path, n_valid AS total_entries FROM l_file", O.LOG))
 def q_total_entries(spark, sf):
-    return LM.total_entries(_entries(spark, sf))
+    return LM.total_entries(_log(spark, sf))
 
 
 @register("log_by_level", O.with_ctes("SELECT * FROM l_level", O.LOG))
@@ -416,9 +425,9 @@ def q_by_hour(spark, sf):
 
 
 @register("log_top_component", O.with_ctes(
-    "SELECT path, component AS top_component, n AS top_component_errors FROM l_comp", O.LOG))
+    "SELECT path, component AS top_component, n AS top_component_errors FROM l_file LEFT JOIN l_comp USING (path)", O.LOG))
 def q_top_component(spark, sf):
-    return LM.top_component(_entries(spark, sf))
+    return LM.top_component(_log(spark, sf))
 
 
 @register("log_top_errors", O.with_ctes("SELECT path, rank, message, n FROM l_top", O.LOG))
@@ -427,9 +436,10 @@ def q_top_errors(spark, sf):
 
 
 @register("log_error_gaps", O.with_ctes(
-    "SELECT path, gap_count, round(gap_avg, 6) AS gap_avg, gap_min, gap_max FROM l_gap", O.LOG))
+    "SELECT path, coalesce(gap_count, 0) AS gap_count, round(coalesce(gap_avg, 0.0), 6) AS gap_avg, gap_min, gap_max"
+    " FROM l_file LEFT JOIN l_gap USING (path)", O.LOG))
 def q_gaps(spark, sf):
-    return _round(LM.error_gaps(LM.second_counts(_entries(spark, sf))), 6, "gap_avg")
+    return _round(LM.error_gaps(LM.second_counts(_log(spark, sf))), 6, "gap_avg")
 
 
 @register("log_patterns", O.with_ctes("SELECT path, rank, pattern, n FROM l_pat", O.LOG))
@@ -526,21 +536,26 @@ _REPORT = " UNION ALL ".join([
         ("Registered users", "coalesce(total_users, 0)"),
         ("Active users", "coalesce(active_users, 0)"),
         ("Inactive users", "coalesce(inactive_users, 0)"),
-        ("Average session duration", O.number_text("avg_session_seconds / 60", 2) + " || ' minutes'"),
-        ("Total pages visited", "CAST(total_pages AS BIGINT)"),
+        ("Average session duration", O.number_text("coalesce(avg_session_seconds, 0) / 60", 2) + " || ' minutes'"),
+        ("Total pages visited", "coalesce(CAST(total_pages AS BIGINT), 0)"),
         ("Peak activity hour", "coalesce(peak_hour || ':00 (' || peak_sessions || ' sessions)', 'N/A')"),
     ]),
-    _rows("json", "j_top", [("Top actions", "action || ' (' || n || ' times)'")], "rank"),
+    _rows("json", "j_docs LEFT JOIN j_top USING (path)", [
+        ("Top actions", "coalesce(action || ' (' || n || ' times)', '(no actions)')")], "coalesce(rank, 0)"),
     _rows("log", f"l_file LEFT JOIN {_LEVELS} USING (path)", [
         ("Total entries", "n_valid"), ("Level distribution", "text")]),
     _rows("log", _HOURS, [("Time distribution (by hour)", "text")]),
-    _rows("log", "l_comp", [("Components with most errors", "component || ' (' || n || ' errors)'")]),
-    _rows("log", "l_gap", [(
+    _rows("log", "l_file LEFT JOIN l_comp USING (path)", [
+        ("Components with most errors", "coalesce(component || ' (' || n || ' errors)', 'N/A')")]),
+    _rows("log", "l_file LEFT JOIN l_gap USING (path)", [(
         "Time between critical errors (sec)",
-        "'avg=' || " + O.number_text("gap_avg", 2) + " || ', min=' || gap_min || ', max=' || gap_max || ', n=' || gap_count",
+        "CASE WHEN coalesce(gap_count, 0) = 0 THEN 'N/A' ELSE 'avg=' || " + O.number_text("gap_avg", 2)
+        + " || ', min=' || gap_min || ', max=' || gap_max || ', n=' || gap_count END",
     )]),
-    _rows("log", "l_top", [("Most frequent errors", "message || ' (' || n || ')'")], "rank"),
-    _rows("log", "l_pat", [("Recurring error patterns", "pattern || ' (' || n || ')'")], "rank"),
+    _rows("log", "l_file LEFT JOIN l_top USING (path)", [
+        ("Most frequent errors", "coalesce(message || ' (' || n || ')', '(no critical errors)')")], "coalesce(rank, 0)"),
+    _rows("log", "l_file LEFT JOIN l_pat USING (path)", [
+        ("Recurring error patterns", "coalesce(pattern || ' (' || n || ')', '(no critical errors)')")], "coalesce(rank, 0)"),
 ])
 
 

@@ -73,11 +73,12 @@ s_text AS (
 LOG = """
 l_base AS (
   SELECT 'app_' || (event_id // 500) || '.log' AS path, CAST(event_id % 500 + 1 AS BIGINT) AS line,
-         CASE WHEN (event_id // 500) % 4 = 3 THEN event_id % 17 ELSE -1 END AS fault,
+         CASE WHEN (event_id // 500) % 9 = 7 THEN 0 WHEN (event_id // 500) % 4 = 3 THEN event_id % 17 ELSE -1 END AS fault,
          CASE WHEN event_id % 29 = 0 THEN '  ' ELSE ' ' END AS gap,
          date_trunc('second', ts) AS ts,
-         CASE event_type WHEN 'view' THEN 'INFO' WHEN 'click' THEN 'DEBUG' WHEN 'signup' THEN 'WARN'
-              WHEN 'error' THEN 'ERROR' ELSE 'FATAL' END AS level,
+         CASE WHEN (event_id // 500) % 6 = 4 THEN 'INFO' WHEN event_type = 'view' THEN 'INFO'
+              WHEN event_type = 'click' THEN 'DEBUG' WHEN event_type = 'signup' THEN 'WARN'
+              WHEN event_type = 'error' THEN 'ERROR' ELSE 'FATAL' END AS level,
          'c' || (user_id % 7) AS component,
          CASE event_type
            WHEN 'error' THEN 'timeout' || CASE WHEN event_id % 3 = 0 THEN '  ' ELSE ' ' END || 'after ' || (user_id % 5) || ' s'
@@ -150,7 +151,9 @@ t_sess AS (
 t_doc AS (
   SELECT k, '{"timestamp":"2024-02-29T12:00:00Z"' || coalesce(',"usuarios":[' || users || ']', '')
     || coalesce(',"sesiones":[' || sessions || ']', '') || '}' AS doc
-  FROM t_user FULL JOIN t_sess USING (k)),
+  FROM (SELECT k, CASE k % 15 WHEN 2 THEN NULL WHEN 6 THEN left(users, 0) ELSE users END AS users,
+          CASE k % 15 WHEN 3 THEN NULL WHEN 7 THEN left(sessions, 0) ELSE sessions END AS sessions
+        FROM t_user FULL JOIN t_sess USING (k))),
 t_text AS (
   SELECT 'users_' || k || '.json' AS path, CASE k % 15 WHEN 4 THEN left(doc, length(doc) - 1)
     WHEN 9 THEN '[' || doc || ']' WHEN 11 THEN doc || chr(10) || ' // end'
@@ -174,7 +177,9 @@ j_docs AS (
          WHEN k % 15 = 14 AND k IN (SELECT k FROM j_users WHERE active) THEN 'type violation: activo' END AS error
   FROM (SELECT k FROM j_users UNION SELECT k FROM j_sess)),
 j_status AS (SELECT path, 'json' AS kind, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status FROM j_docs),
-j_u AS (SELECT path, id, name, coalesce(active, false) AS active FROM j_users JOIN j_docs USING (k) WHERE error IS NULL),
+j_u AS (
+  SELECT path, id, name, coalesce(active, false) AS active FROM j_users JOIN j_docs USING (k)
+  WHERE error IS NULL AND k % 15 NOT IN (2, 6)),
 j_s AS (
   SELECT path, k, user_id,
     CASE WHEN user_id % 7 IN (0, 1) THEN 0.0 ELSE CAST(last_at - first_at AS DOUBLE) END AS seconds,
@@ -183,8 +188,9 @@ j_s AS (
     CASE user_id % 11 WHEN 0 THEN strftime(make_timestamp(first_at * 1000000), '%Y-%m-%dT%H:%M:%S')
       WHEN 1 THEN strftime(make_timestamp((first_at + 7200) * 1000000), '%Y-%m-%dT%H:%M:%S+02:00')
       ELSE strftime(make_timestamp(first_at * 1000000), '%Y-%m-%dT%H:%M:%SZ') END AS start
-  FROM j_sess JOIN j_docs USING (k) WHERE error IS NULL),
-j_a AS (SELECT path, event_type AS action FROM j_events JOIN j_docs USING (k) WHERE error IS NULL),
+  FROM j_sess JOIN j_docs USING (k) WHERE error IS NULL AND k % 15 NOT IN (3, 7)),
+j_a AS (
+  SELECT path, event_type AS action FROM j_events JOIN j_docs USING (k) WHERE error IS NULL AND k % 15 NOT IN (3, 7)),
 j_uc AS (
   SELECT path, count(*) AS total_users, count(*) FILTER (active) AS active_users,
          count(*) FILTER (NOT active) AS inactive_users FROM j_u GROUP BY path),

@@ -34,6 +34,13 @@ def test_validity(spark):
         "[]": S.ERR_JSON_ROOT,
         '[{"a":1}]': S.ERR_JSON_ROOT,
         "null": S.ERR_JSON_ROOT,
+        "": S.ERR_JSON,
+        '{"a":1},"seal":5': S.ERR_JSON,
+        '{"a":1},{"b":2}': S.ERR_JSON,
+        "[1": S.ERR_JSON,
+        "{'a':1}": S.ERR_JSON,
+        '{"a":NaN}': S.ERR_JSON,
+        '{"a":01}': S.ERR_JSON,
         "1": S.ERR_JSON_ROOT,
         '"x"': S.ERR_JSON_ROOT,
         '{"usuarios": null}': "type violation: usuarios",
@@ -85,10 +92,19 @@ def test_metrics(spark):
     assert [(r["action"], r["n"]) for r in top] == [("login", 3), ("logout", 2), ("view", 1)]
     # The exploded rows give the same.
     sessions = JQ.sessions(rows)
-    assert JM.session_totals(sessions).first()["total_pages"] == 6.0
-    peak = JM.peak_hour(JQ.session_hours(sessions)).first()
-    assert (peak["peak_hour"], peak["peak_sessions"]) == (8, 2)
-    counts = JM.user_counts(JQ.users(rows)).first()
-    assert (counts["total_users"], counts["active_users"]) == (3, 1)
+    by = lambda df: {r["path"]: tuple(r)[1:] for r in df.collect()}
+    assert by(JM.session_totals(rows)) == {"a.json": (pytest.approx(24.0), 6.0), "none.json": (0.0, 0.0)}
+    assert by(JM.peak_hour(rows)) == {"a.json": (8, 2), "none.json": (None, None)}
+    assert by(JM.user_counts(rows)) == {"a.json": (3, 1, 2), "none.json": (0, 0, 0)}
     direct = JM.top_actions(JM.action_counts(JQ.actions(sessions)))
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, top))
+
+
+def test_documents_have_no_size_limit(spark):
+    """A valid document of 180 MB is valid and counted; a single value could not hold it."""
+    user = '{"activo":true,"nombre":"' + "x" * 180 + '"}'
+    n = 900_000
+    docs = spark.createDataFrame([("big.json", n)], "path string, n int").selectExpr(
+        "path", f"""concat('{{"usuarios":[', array_join(array_repeat('{user}', n), ','), ']}}') AS content""")
+    row = JM.user_counts(JQ.check_documents(docs)).first()
+    assert (row["path"], row["total_users"], row["active_users"]) == ("big.json", n, n)

@@ -68,7 +68,7 @@ def test_gaps_match_brute_force(spark):
         text[path] = [entry(t, rnd.choice(["ERROR", "FATAL"])) for t in times] + [entry(start, "INFO")]
         rnd.shuffle(text[path])
     checked = LQ.check_log(lines(spark, text))
-    direct = LM.error_gaps(LM.second_counts(LQ.valid_entries(checked)))
+    direct = LM.error_gaps(LM.second_counts(checked))
     from_facts = LM.error_gaps(LM.facts_seconds(LM.log_facts(checked)))
     for result in (direct, from_facts):
         got = {r["path"]: (r["gap_count"], r["gap_avg"], r["gap_min"], r["gap_max"]) for r in result.collect()}
@@ -118,8 +118,8 @@ def test_facts_agree_with_single_metrics(spark):
     assert same(LM.by_hour(entries), LM.facts_by_hour(facts))
     assert same(LM.message_counts(entries), LM.facts_messages(facts))
     metrics = LM.log_metrics(facts)
-    assert same(LM.total_entries(entries), metrics.select("path", "total_entries"))
-    assert same(LM.top_component(entries), metrics.select("path", "top_component", "top_component_errors"))
+    assert same(LM.total_entries(checked), metrics.select("path", "total_entries"))
+    assert same(LM.top_component(checked), metrics.select("path", "top_component", "top_component_errors"))
     totals = {r["level"]: r["n"] for r in R.log_totals(facts).collect()}
     assert sum(totals.values()) == 400
 
@@ -130,3 +130,11 @@ def test_top_k_limits_before_the_shuffle(spark):
     top = LM.top_errors(LM.message_counts(LQ.valid_entries(checked)))
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_files_without_entries_have_rows(spark):
+    checked = LQ.check_log(lines(spark, {"quiet.log": [entry(datetime(2024, 1, 1), "INFO")], "broken.log": ["x", ""]}))
+    by = lambda df: {r["path"]: tuple(r)[1:] for r in df.collect()}
+    assert by(LM.total_entries(checked)) == {"quiet.log": (1,), "broken.log": (0,)}
+    assert by(LM.top_component(checked)) == {"quiet.log": (None, None), "broken.log": (None, None)}
+    assert by(LM.error_gaps(LM.second_counts(checked))) == {p: (0, 0.0, None, None) for p in ("quiet.log", "broken.log")}

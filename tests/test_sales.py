@@ -44,7 +44,8 @@ CASES = {
     "2024-01-05,Lamp,Home,,abc,0": S.ERR_PRICE,
     "2024-01-05,Lamp,Home,-1,abc,0": S.ERR_QUANTITY,
     "2024-01-05,Lamp,Home,1,1.0,0": S.ERR_QUANTITY,
-    "2024-01-05,Lamp,Home,1,99999999999999999999,0": S.ERR_QUANTITY,
+    "2024-01-05,Lamp,Home,1,99999999999999999999,0": None,
+    "2024-01-05,Lamp,Home,1,100000000000000000000000000000000000000,0": S.ERR_QUANTITY,
     "2024-01-05,Lamp,Home,-1,0,x": S.ERR_DISCOUNT,
     "2024-01-05,Lamp,Home,-1,0,200": S.ERR_PRICE_SIGN,
     "2024-01-05,Lamp,Home,0,1,0": S.ERR_PRICE_SIGN,
@@ -158,3 +159,30 @@ def test_hot_file_matches_brute_force(spark):
         assert (row["top_product"], row["top_product_units"]) == (best, products[best])
         assert row["unique_products"] == len(products)
         assert row["total_sales"] == sum(products.values())
+
+
+def test_wide_quantities_do_not_end_the_run(spark):
+    wide = "9" * 38
+    files = {
+        "hot.csv": [HEADER, f"2024-01-01,Pen,Office,1,{wide},0", f"2024-01-01,Pen,Office,1,{wide},0", "2024-01-01,Ink,Office,1,1,0"],
+        "one.csv": [HEADER, f"2024-01-01,Pen,Office,0.5,{wide},0"],
+    }
+    checked = SQ.check_sales(lines(spark, files))
+    rows = {r["path"]: r for r in SM.sales_metrics(SM.sales_cube(checked)).collect()}
+    # A sum of more than 38 digits is the largest, but has no exact number.
+    assert (rows["hot.csv"]["top_product"], rows["hot.csv"]["top_product_units"]) == ("Pen", None)
+    assert rows["one.csv"]["top_product_units"] == int(wide)
+    assert rows["hot.csv"]["total_sales"] == pytest.approx(2e38) and rows["one.csv"]["total_sales"] == pytest.approx(5e37)
+    assert {r["path"]: r["top_product"] for r in SM.top_product(checked).collect()} == {"hot.csv": "Pen", "one.csv": "Pen"}
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    values = ["0.1,3,0", "1234567.89,7,12.5", "0.7,1,33.3", "99999.99,3,0", "0.05,1,99.9"] * 40
+    rows = [f"2024-01-01,P{i % 3},C,{v}" for i, v in enumerate(values)]
+    found = set()
+    for n in (1, 3, 7):
+        checked = SQ.check_sales(lines(spark, {"a.csv": [HEADER, *(rows if n < 7 else rows[::-1])]}).repartition(n))
+        found.add(tuple(SM.sales_metrics(SM.sales_cube(checked)).select("total_sales", "top_category_revenue", "avg_discount_pct").first()))
+        found.add((SM.total_sales(checked).first()["total_sales"], SM.top_category(checked).first()["top_category_revenue"],
+                   SM.average_discount(checked).first()["avg_discount_pct"]))
+    assert len(found) == 1
