@@ -49,7 +49,7 @@ def _top(checked: DataFrame, key: str, total: Column, name: str, value: str) ->
     sums = checked.groupBy("path", key).agg(total.alias("v"), any_fatal().alias("fatal"))
     best = sums.groupBy("path").agg(arg_max(F.col("v"), F.col(key)).alias("best"), any_fatal().alias("failed"))
     shown = F.when(~F.col("failed"), F.col("best"))
-    return best.select("path", shown["key"].alias(name), (-shown["neg"]).alias(value))
+    return best.select("path", shown["key"].alias(name), (F.lit(0) - shown["neg"]).alias(value))
 
 
 def top_product(checked: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def sales_metrics(cube: DataFrame) -> DataFrame:
             _unless_failed(F.col("net"), F.lit(0.0), failed).alias("total_sales"),
             _unless_failed(F.col("unique_products"), F.lit(0).cast("bigint"), failed).alias("unique_products"),
             shown(F.col("p.key")).alias("top_product"),
-            shown(-F.col("p.neg")).alias("top_product_units"),
+            shown(F.lit(0) - F.col("p.neg")).alias("top_product_units"),
             shown(F.col("c.key")).alias("top_category"),
             shown(-F.col("c.neg")).alias("top_category_revenue"),
             _unless_failed(F.try_divide("discount", "n_valid"), F.lit(0.0), failed).alias("avg_discount_pct"),

@@ -30,6 +30,7 @@ def any_fatal() -> Column:
 def arg_max(value: Column, key: Column) -> Column:
     """Aggregate: ``struct(value, key)`` of the largest value, the smallest key on a tie.
 
-    Rows whose key is NULL do not take part.
+    Rows whose key is NULL do not take part; a NULL value counts as the largest.
+    A subtraction is exact for decimals of any width, a change of sign is not.
     """
-    return F.min(F.when(key.isNotNull(), F.struct((-value).alias("neg"), key.alias("key"))))
+    return F.min(F.when(key.isNotNull(), F.struct((F.lit(0) - value).alias("neg"), key.alias("key"))))

@@ -603,7 +603,8 @@ UNION ALL SELECT path, 'partial: line ' || line || ': ' || error FROM l_reject J
 def q_errors(spark, sf):
     sales = SQ.sales_rejects(B.sales_lines(spark, sf))
     whole = sales.where("line IS NULL").select("path", "error").unionByName(JQ.json_errors(_json(spark, sf)))
-    return P.error_list(_statuses(spark, sf), sales.unionByName(LQ.log_rejects(_log(spark, sf))), whole)
+    listed = P.error_list(_statuses(spark, sf), sales.unionByName(LQ.log_rejects(_log(spark, sf))), whole)
+    return listed.select("path", "error")
 
 
 @register("level_distribution_text", O.with_ctes(f"SELECT path, text FROM {_LEVELS}", O.LOG))
@@ -686,21 +687,20 @@ def q_append(spark, sf):
 @register("history_list", O.with_ctes(
     f"SELECT {_RUN} FROM h_runs WHERE {_COMPLETE} ORDER BY inserted_at DESC, id DESC", O.HISTORY))
 def q_list(spark, sf):
-    return H.newest_first(H.complete_runs(B.history_rows(spark, sf))).drop("data")
+    return H.newest_first(_history(spark, sf)).drop("data")
 
 
 @register("history_get", O.with_ctes(
     f"SELECT {_RUN} FROM h_runs WHERE {_COMPLETE} AND id IN (SELECT doc_id FROM labels)", O.HISTORY))
 def q_get(spark, sf):
     ids = B.table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
-    return H.get_runs(H.complete_runs(B.history_rows(spark, sf)), ids).drop("data")
+    return H.get_runs(_history(spark, sf), ids).drop("data")
 
 
 @register("history_expand", O.with_ctes(
     f"SELECT id, directory, total, status FROM h_runs WHERE {_COMPLETE}", O.HISTORY))
 def q_expand(spark, sf):
-    runs = H.complete_runs(B.history_rows(spark, sf))
-    return H.expand(runs, {
+    return H.expand(_history(spark, sf), {
         "directory": "$.directory:string", "total": "$.counts.total:bigint", "status": "$.counts.status:string"})
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyfold.functions.text import base_name, count_text
-from tallyfold.operators.rollup import OK, PARTIAL, status
+from tallyfold.operators.rollup import FAILED, OK, PARTIAL, status
 from tallyfold.session import join_small
 
 SECTIONS = {"csv": "CSV", "json": "JSON", "log": "LOG"}
@@ -154,25 +154,31 @@ def omitted_files(statuses: DataFrame, line_errors: DataFrame) -> DataFrame:
 
 
 def error_list(statuses: DataFrame, line_errors: DataFrame, file_errors: DataFrame, discovery: DataFrame | None = None):
-    """``path, error``: discovery, whole-file and partial-line errors.
+    """``path, reason, details, error``: discovery, whole-file and partial-line errors.
 
-    Lines are listed for partial files only; the paths of those are one row
-    per file.
+    error is the text of a report. Lines are listed for partial files only; the
+    paths of those are one row per file.
     """
     partial = statuses.where(F.col("status") == PARTIAL).select("path")
+    line = F.concat(F.lit("line "), F.col("line").cast("string"), F.lit(": "), F.col("error"))
     lines = join_small(line_errors.where("line IS NOT NULL"), partial, "path", "left_semi").select(
-        "path",
-        F.concat(F.lit("partial: line "), F.col("line").cast("string"), F.lit(": "), F.col("error")).alias("error"),
+        "path", F.lit(PARTIAL).alias("reason"), line.alias("details"), F.concat(F.lit(f"{PARTIAL}: "), line).alias("error")
     )
-    rows = file_errors.select("path", "error").unionByName(lines)
+    whole = file_errors.select("path", F.lit(FAILED).alias("reason"), F.col("error").alias("details"), "error")
+    rows = whole.unionByName(lines)
     if discovery is not None:
-        listed = discovery.select(
-            F.col("input").alias("path"), F.concat("reason", F.lit(': "'), "details", F.lit('"')).alias("error")
-        )
-        rows = listed.unionByName(rows)
+        rows = discovery_rows(discovery).unionByName(rows)
     return rows
 
 
+def discovery_rows(discovery: DataFrame) -> DataFrame:
+    """Discovery errors as rows of the error list."""
+    return discovery.select(
+        F.col("input").alias("path"), "reason", "details",
+        F.concat("reason", F.lit(': "'), "details", F.lit('"')).alias("error"),
+    )
+
+
 # --- full text ----------------------------------------------------------------
 
 def _lines(df: DataFrame, section: int, path: Column, part: int, texts: list[Column]) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import json
 import re
 import time
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyfold.operators import (
@@ -20,6 +19,12 @@ from tallyfold.session import prepare, settle
 from tallyfold.sources import history as H, lines as L, manifest as M, sinks as K
 
 MODES = ("parallel", "sequential")
+_PROBLEM = "input string, reason string, details string"
+# The tables a run stores.
+STORED = (
+    "file_status", "csv_metrics", "json_metrics", "log_metrics", "report_metrics", "omitted_files", "csv_totals", "json_totals",
+    "log_totals", "top_actions", "top_errors", "patterns", "errors",
+)
 
 
 @dataclass
@@ -37,10 +42,25 @@ def _error(path: str, reason: str, **values) -> dict:
     return {"path": path, "reason": reason, "details": DETAILS[reason].format(**values)}
 
 
+def _qualified(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """A requested path in full, by its own file system, and whether it is there.
+
+    Relative paths are resolved by that file system, not by the driver's folder.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = system.makeQualified(hadoop)
+    return full.toString(), system.exists(full)
+
+
+def _literal(path: str) -> str:
+    """A path with the signs of patterns taken literally."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _plain(path: str) -> str:
-    """A requested path without scheme and host; local ones made absolute."""
-    plain = re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?(?=/)", "", path)
-    return plain if plain.startswith("/") else os.path.abspath(plain)
+    """A full path without scheme and host."""
+    return re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?(?=/)", "", path)
 
 
 def _plain_column(path: Column) -> Column:
@@ -48,14 +68,6 @@ def _plain_column(path: Column) -> Column:
     return F.url_decode(F.replace(bare, F.lit("+"), F.lit("%2B")))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except AnalysisException:
-        return False
-    return True
-
-
 def _covering(paths: list[str]) -> list[str]:
     """Requested paths without those that repeat or lie below another one."""
     kept: dict[str, str] = {}
@@ -69,10 +81,11 @@ def _covering(paths: list[str]) -> list[str]:
 
 def discover(spark: SparkSession, inputs: list[str]) -> tuple[list[str], DataFrame, DataFrame]:
     """Paths to read, the supported files below them, and the discovery errors."""
-    present = [p for p in inputs if _exists(spark, p)]
-    asked = [(p, _plain(p).rstrip("/") or "/", p in present) for p in dict.fromkeys(inputs)]
+    full = {p: _qualified(spark, p) for p in dict.fromkeys(inputs) if p}
+    full |= {p: ("/", False) for p in inputs if not p}
+    asked = [(p, _plain(q).rstrip("/") or "/", there) for p, (q, there) in full.items()]
     asked = spark.createDataFrame(asked, "asked string, input string, exists boolean")
-    roots = _covering(present)
+    roots = [_literal(p) for p in _covering([q for q, there in full.values() if there])]
     if roots:
         files = M.manifest(spark, roots)
     else:
@@ -188,13 +201,39 @@ def _totals_text(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def _plain_error(problem: dict) -> dict:
+    return {"path": problem["input"], "reason": problem["reason"], "details": problem["details"]}
+
+
+def _stored(summary: dict, tables: dict[str, DataFrame], mode: str, elapsed: float, run_dir: str) -> dict:
+    """What the history keeps of a run: counts and totals, which are bounded, and where its tables are.
+
+    Metrics of single files grow with the input and so stay in the tables.
+    """
+    entries = tables["log_totals"].agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return {
+        "counts": summary, "csv_totals": tables["csv_totals"].first().asDict(),
+        "json_totals": tables["json_totals"].first().asDict(), "log_totals": {"entries": entries},
+        "mode": mode, "elapsed_seconds": elapsed, "report": f"{run_dir}/report", "tables": run_dir,
+    }
+
+
+def stored_run(spark: SparkSession, history_dir: str, run_id: int) -> tuple[dict, dict[str, DataFrame]]:
+    """Counts and totals of a stored run, and its tables."""
+    row = H.get_run(H.read(spark, history_dir), run_id).select("data").first()
+    if row is None:
+        raise ValueError(f"no run {run_id}")
+    data = json.loads(row["data"])
+    return data, {name: spark.read.parquet(f"{data['tables']}/{name}") for name in STORED}
+
+
 def run(
     spark: SparkSession, inputs: str | list[str], out_dir: str, mode: str = "parallel", history_dir: str | None = None,
 ) -> RunResult:
     """Process files and folders and write the result tables below ``out_dir``.
 
     Both modes run the same distributed plan; the name is recorded in the
-    report and the history. Nothing is written when no file is ok.
+    report and the history. When no file is ok, only the errors are written.
     """
     started = time.time()
     many = isinstance(inputs, (list, tuple)) and all(isinstance(p, str) for p in inputs)
@@ -205,41 +244,46 @@ def run(
     asked = [inputs] if isinstance(inputs, str) else list(inputs)
     prepare(spark)
     roots, files, discovery = discover(spark, asked)
+    run_id = time.time_ns() // 1000
+    errors_dir = f"{out_dir}/errors"
     # At most one row per requested path.
     problems = [
-        {"path": r["input"], "reason": r["reason"], "details": r["details"]} for r in discovery.collect()
+        {"input": r["input"], "reason": r["reason"], "details": r["details"]} for r in discovery.collect()
     ]
     if not roots or files.limit(1).count() == 0:
-        return RunResult(False, problems)
+        K.write_rejects(P.discovery_rows(spark.createDataFrame(problems, _PROBLEM)), errors_dir, str(run_id))
+        return RunResult(False, [_plain_error(p) for p in problems])
 
     tables = analyze(spark, roots, files)
     statuses = tables["file_status"]
     summary = R.run_summary(statuses).first().asDict()
+    elapsed = time.time() - started
+    listed = spark.createDataFrame(problems, _PROBLEM)
+    tables["errors"] = settle(P.error_list(statuses, tables["line_errors"], tables["file_errors"], listed))
+    K.write_rejects(tables["errors"], errors_dir, str(run_id))
     if summary["ok"] == 0:
         error = _error("run", "no_successful_files", total=summary["total"], ok=0)
         return RunResult(False, [error], summary, tables)
 
-    elapsed = time.time() - started
-    tables["errors"] = P.error_list(statuses, tables["line_errors"], tables["file_errors"], discovery)
     one_row = spark.createDataFrame([summary], R.run_summary(statuses).schema)
     single = asked[0] if len(asked) == 1 and isinstance(inputs, str) else None
-    run_id = time.time_ns() // 1000
-    for name in ("file_status", "csv_metrics", "json_metrics", "log_metrics", "report_metrics", "omitted_files"):
-        K.write_metrics(tables[name], f"{out_dir}/{name}")
-    K.write_rejects(tables["errors"], f"{out_dir}/errors", str(run_id))
+    # Tables of a run have a folder of their own, so a later run keeps them.
+    run_dir = f"{out_dir}/runs/{run_id}"
+    for name in STORED:
+        K.write_metrics(tables[name], f"{run_dir}/{name}")
+        tables[name] = spark.read.schema(tables[name].schema).parquet(f"{run_dir}/{name}")
     text = P.report_lines(
-        one_row, spark.read.parquet(f"{out_dir}/report_metrics"), statuses,
-        spark.read.parquet(f"{out_dir}/omitted_files"), _totals_text(tables),
-        spark.read.parquet(f"{out_dir}/errors").where(F.col("run_id") == str(run_id)).select("path", "error"),
-        elapsed, mode, single,
+        one_row, tables["report_metrics"], statuses, tables["omitted_files"], _totals_text(tables),
+        tables["errors"].select("path", "error"), elapsed, mode, single,
     )
-    P.in_report_order(text).select("text").write.mode("overwrite").text(f"{out_dir}/report")
+    report = P.in_report_order(text).select("text")
+    report.write.text(f"{run_dir}/report")
+    report.write.mode("overwrite").text(f"{out_dir}/report")
     if history_dir:
-        data = F.to_json(F.struct(F.struct(*one_row.columns).alias("counts"), F.lit(out_dir).alias("report")))
-        row = one_row.select(
+        data = json.dumps(_stored(summary, tables, mode, elapsed, run_dir))
+        H.append(one_row.select(
             F.lit(run_id).alias("id"), F.lit(mode).alias("mode"), F.col("total").cast("int").alias("total_files"),
-            "success_rate", F.lit(elapsed * 1000).alias("execution_time_ms"), data.alias("data"),
+            "success_rate", F.lit(elapsed * 1000).alias("execution_time_ms"), F.lit(data).alias("data"),
             F.current_timestamp().cast("timestamp_ntz").alias("inserted_at"),
-        )
-        H.append(row, history_dir)
-    return RunResult(True, problems, summary, tables, out_dir)
+        ), history_dir)
+    return RunResult(True, [_plain_error(p) for p in problems], summary, tables, run_dir)

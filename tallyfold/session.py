@@ -8,10 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Rows a broadcast side may have. A row of the tables passed to
-# ``join_small`` is a path and a few numbers, about 300 bytes, so the built
-# hash table stays below roughly 100 MB.
-BROADCAST_ROWS = 200_000
+# Bytes of text and numbers that a broadcast side may have; its hash table is a few times larger.
+BROADCAST_BYTES = 32 << 20
 
 _RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -69,14 +67,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def join_small(left: DataFrame, right: DataFrame, on, how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+def join_small(left: DataFrame, right: DataFrame, on, how: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Join a wide table with a table that is usually small.
 
-    ``right`` is materialised first and counted. Up to ``limit`` rows it is
+    ``right`` is materialised first and measured. Up to ``limit`` bytes it is
     broadcast, so ``left`` is not shuffled; above that the join is a plain
     shuffle join, where AQE splits a skewed key on the left.
     """
     right = settle(right)
-    if right.limit(limit + 1).count() <= limit:
+    width = [F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(8) for c, t in right.dtypes]
+    size = right.agg(F.sum(sum(width, F.lit(16)))).first()[0] or 0
+    if size <= limit:
         right = F.broadcast(right)
     return left.join(right, on, how)

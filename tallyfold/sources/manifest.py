@@ -13,11 +13,15 @@ def manifest(spark: SparkSession, paths) -> DataFrame:
     """All files below the given paths: ``path, bytes``. Contents are not read.
 
     A scan leaves out empty files, so those are taken from the scan's own list
-    of file names, which the driver holds for any scan.
+    of file names. Spark's driver holds that list for any scan; it goes from
+    there to a table without passing through Python.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
     sized = listing.select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("bytes"))
-    names = spark.createDataFrame([(name,) for name in listing.inputFiles()], "name string")
+    jvm = spark.sparkContext._jvm
+    listed = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(listing._jdf.inputFiles())
+    listed = spark._jsparkSession.createDataset(listed, jvm.org.apache.spark.sql.Encoders.STRING())
+    names = DataFrame(listed.toDF(), spark).toDF("name")
     # A local file is file:///x in this list and file:/x in the metadata column.
     names = names.select(F.regexp_replace("name", "^([a-z0-9+.-]+):///", "$1:/").alias("path"))
     empty = names.join(sized.select("path"), "path", "left_anti").select("path", F.lit(0).cast("bigint").alias("bytes"))

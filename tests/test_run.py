@@ -2,7 +2,7 @@
 
 import pytest
 
-from tallyfold.plans.run import run
+from tallyfold.plans.run import run, stored_run
 from tallyfold.schemas import DETAILS, SALES_HEADER
 
 LOG = """2024-02-28 08:00:00 [INFO] [Web] started
@@ -85,6 +85,64 @@ def test_errors_that_stop_a_run(spark, data, tmp_path):
     assert one("absent/folder") == plain("absent/folder", "directory_not_found")
     assert one(5) == plain("", "argument_malformed")
     assert run(spark, "x", out, "fast").errors == plain("mode", "invalid_mode", mode='"fast"')
+    # Errors are all that was written.
     import os
 
-    assert not os.path.exists(out)
+    assert os.listdir(out) == ["errors"]
+
+
+def files_below(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*.parquet")) if folder.exists() else []
+
+
+def test_clean_runs_keep_their_tables(spark, tmp_path):
+    """Files without any fault, relative and with pattern signs in their names, twice."""
+    folder = tmp_path / "in [1]"
+    folder.mkdir()
+    (folder / "h[1].csv").write_text(SALES_HEADER + "\n2024-01-02,Pen,Office,10.0,3,50")
+    (folder / "a.log").write_text(LOG)
+    (folder / "a.json").write_text(DOC)
+    (folder / "b1.csv").write_text(SALES_HEADER + "\n2024-01-02,Ink,Office,1.0,1,0")
+    out, history = tmp_path / "out", str(tmp_path / "history")
+    first = run(spark, str(folder), str(out), history_dir=history)
+    assert first.ok and first.errors == [] and first.summary["ok"] == first.summary["total"] == 4
+    text = "\n".join(r[0] for r in spark.read.text(str(out / "report")).collect())
+    assert "No global errors." in text and "Success rate: 100.0%" in text
+    assert first.tables["errors"].count() == 0
+    second = run(spark, str(folder / "h[1].csv"), str(out), history_dir=history)
+    assert second.ok and second.summary["total"] == 1
+    # The tables of both runs are there and are read back from the history.
+    runs = {r["total_files"]: r for r in spark.read.parquet(history).collect()}
+    assert set(runs) == {1, 4}
+    data, tables = stored_run(spark, history, runs[4]["id"])
+    assert data["csv_totals"] == {"total_sales": 16.0, "unique_products": 2} and data["counts"] == first.summary
+    assert data["json_totals"]["total_users"] == 2 and data["log_totals"] == {"entries": 3}
+    assert tables["file_status"].count() == 4 and tables["csv_metrics"].count() == 2
+    _, tables = stored_run(spark, history, runs[1]["id"])
+    assert [r["total_sales"] for r in tables["csv_metrics"].collect()] == [15.0]
+
+
+def test_refused_runs_write_their_errors(spark, tmp_path):
+    out, bad = str(tmp_path / "out"), tmp_path / "bad"
+    bad.mkdir()
+    (bad / "a.json").write_text("[]")
+    assert not run(spark, ["absent.csv", str(tmp_path / "gone")], out).ok
+    assert not run(spark, str(bad), out).ok
+    errors = spark.read.parquet(out + "/errors").collect()
+    assert {(r["reason"], r["details"]) for r in errors} == {
+        ("file_not_found", DETAILS["file_not_found"]), ("directory_not_found", DETAILS["directory_not_found"]),
+        ("failed", "JSON root must be an object"),
+    }
+    assert len({r["run_id"] for r in errors}) == 2 and all(r["run_ts"] for r in errors)
+    assert not files_below(tmp_path / "out" / "runs")
+
+
+def test_wholly_failed_and_clean_files(spark, tmp_path):
+    """A file that fails line by line is in no error list, but omitted."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "ok.csv").write_text(SALES_HEADER + "\n2024-01-02,Pen,Office,10.0,3,50")
+    (folder / "no.csv").write_text(SALES_HEADER + "\nx")
+    result = run(spark, str(folder), str(tmp_path / "out"))
+    assert result.ok and result.summary["ok"] == 1 and result.tables["errors"].count() == 0
+    assert [r["message"] for r in result.tables["omitted_files"].collect()] == ["line 2: Row must have 6 columns"]

@@ -18,7 +18,7 @@ def test_lines_over_many_splits(spark, tmp_path):
     try:
         raw = L.scan_lines(spark, str(tmp_path))
         assert raw.select("path", "block").distinct().count() > 5
-        for limit in (session.BROADCAST_ROWS, 0):
+        for limit in (session.BROADCAST_BYTES, 0):
             splits_join = L.join_small
             L.join_small = lambda a, b, on, how: splits_join(a, b, on, how, limit)
             try:
