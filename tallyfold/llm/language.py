@@ -233,7 +233,8 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     mark = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(1 << 30))
     taken = (
         rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), mark.alias("mark"))
-        .join(wanted, "lang").where(F.col("mark") < F.col("share") * (1 << 30))
+        # One row for each language, of which the model keeps a column: few enough to broadcast.
+        .join(F.broadcast(wanted), "lang").where(F.col("mark") < F.col("share") * (1 << 30))
         .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("mark", "text")))
         .where(F.col("n") <= 2 * SAMPLE_DOCS).drop("share", "n")
     )
