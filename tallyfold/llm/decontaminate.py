@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tallyfold.llm.common import map_batches, new_folder, settle, utf8
+from tallyfold.session import join_small
 
 WINDOW = 10
 # How far a term may be from its place in a proximity match.
@@ -334,4 +335,4 @@ def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     key = F.concat_ws("|", F.col(doc_id).cast("string"), F.hex(F.xxhash64(text)))
     keyed = docs.select(key.alias("_key"), F.col(text).alias("_text"))
     bad = contamination(keyed, items, "_key", "_text").where("contaminated").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, key == F.col("_bad"), "left_anti")
+    return join_small(docs, bad, key == F.col("_bad"), "left_anti")

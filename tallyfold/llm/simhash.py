@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyfold.llm.common import map_batches, settle, utf8
 from tallyfold.llm.components import components
+from tallyfold.session import join_small
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -241,4 +242,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """The rows of ``docs`` whose id is its component's id: one document of each group (and its repeated rows)."""
     found = near_duplicates(docs, doc_id, text)
     dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped, F.col(doc_id) == F.col("_dropped"), "left_anti")
+    return join_small(docs, dropped, F.col(doc_id) == F.col("_dropped"), "left_anti")
