@@ -23,11 +23,11 @@ from tallyfold.llm.common import map_batches
 N_BEST = 3
 # Below the least score of a piece, for a character that is no piece and is spelled in bytes.
 UNKNOWN_PENALTY = 10.0
-# Chunks whose segmentations a task keeps.
-CACHE = 400_000
+# Chunks whose segmentations a worker keeps, about 350 bytes each.
+CACHE = 1_000_000
 # Longer chunks are searched one by one; shorter ones together, so many characters at once.
 LONG = 64
-TOGETHER = 200_000
+TOGETHER = 50_000
 
 
 class Vocabulary:
