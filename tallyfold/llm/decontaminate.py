@@ -194,8 +194,9 @@ def _search(row: dict, portion: _Portion, slop: int) -> dict[int, tuple[list, se
     for w in alive.tolist():
         length, terms = int(portion.lengths[w]), portion.words[w]
         order = np.argsort(often[w, :length], kind="stable").tolist()
-        near = places(int(terms[order[0]])) - order[0]
-        exact = near
+        exact = places(int(terms[order[0]])) - order[0]
+        # A start from which every term is within the slop of its place need not be that of the rarest.
+        near = np.unique(exact[:, None] + np.arange(-slop, slop + 1, dtype=exact.dtype))
         for offset in order[1:]:
             listed = places(int(terms[offset]))
             near = near[_within(listed, near + offset, slop)]
@@ -206,8 +207,8 @@ def _search(row: dict, portion: _Portion, slop: int) -> dict[int, tuple[list, se
             continue
         item = portion.items[portion.item[w]]
         for p in near.tolist():
-            # A proximity match may begin before its document by the slop.
-            doc = max(0, int(np.searchsorted(starts, p + order[0], side="right")) - 1)
+            # A proximity match may begin before its document, but only by the slop.
+            doc = int(np.searchsorted(starts, p + slop, side="right")) - 1
             found.setdefault(doc, ([], set(), set()))[2].add(item)
         for p in exact.tolist():
             doc = int(np.searchsorted(starts, p, side="right")) - 1
@@ -232,7 +233,7 @@ def matches(index: DataFrame, wanted: DataFrame, size: int = WINDOW, slop: int =
 
     starts and ends are the words covered by exact phrase matches; near_items
     also has items of which a window's words all stand within ``slop`` of their
-    places. ``wanted`` may have any size: it is put to the index in portions of
+    places, counted from some start. ``wanted`` may have any size: it is put to the index in portions of
     ``PORTION`` windows, each sent to the tasks as a small array.
     """
     schema = "block string, doc int, starts array<int>, ends array<int>, items array<string>, near_items array<string>"

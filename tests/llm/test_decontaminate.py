@@ -1,12 +1,13 @@
 """Phrase and proximity matches against brute force, and edge cases."""
 
 import hashlib
+import random
 import re
 
 import pytest
 
 from tallyfold.llm import decontaminate
-from tallyfold.llm.queries import QUERIES
+from tallyfold.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,6 +70,40 @@ def test_edge_cases(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 6, 8, 10]
 
 
+@pytest.mark.parametrize("block", [1_000_000, 40])
+def test_proximity_does_not_depend_on_blocks(spark, monkeypatch, block):
+    """Random small texts: some start from which every word is within three places."""
+    monkeypatch.setattr(decontaminate, "BLOCK_TOKENS", block)
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randrange(40)))) for i in range(60)]
+    items = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randrange(1, 9)))) for i in range(12)]
+
+    def near(doc, item):
+        at = {}
+        for k, w in enumerate(doc.split()):
+            at.setdefault(w, []).append(k)
+        words = item.split()
+        return any(all(any(abs(p - s - k) <= 3 for p in at.get(w, [])) for k, w in enumerate(words)) for s in range(-4, len(doc)))
+
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_items, r.n_near_items) for r in decontaminate.contamination(d, b).collect()}
+    exact = {r[0]: r[3] for r in slow_hits(docs, items)}
+    assert got == {i: (exact[i], sum(near(t, x) for _, x in items)) for i, t in docs}
+
+
+def test_query_equals_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    result = con.execute(SQL["op8_benchmark_decontamination"])
+    df = QUERIES["op8_benchmark_decontamination"](spark, SF)
+    assert df.columns == [c[0] for c in result.description]
+    assert sorted(map(tuple, df.collect())) == sorted(result.fetchall())
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     b = spark.createDataFrame([(1, "a b")], "item_id long, text string")
