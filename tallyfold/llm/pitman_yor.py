@@ -1,22 +1,24 @@
 """Language-model scores by a hierarchical Pitman-Yor model of words.
 
-A restaurant serves the words that follow a class of contexts: the last
-character of the word before. These restaurants share the parents of coarser
-classes, and the parents share the root, whose base is uniform over the
+A restaurant serves the words that follow one word, known by its hash. These
+restaurants share the parents of coarser contexts, the class of that word's
+last character, and the parents share the root, whose base is uniform over the
 training words and one unknown word. Seatings are sampled by Gibbs: the tables
 of a word in a restaurant are drawn given all others, from the leaves to the
 root. Predictive probabilities are averaged over samples.
 
-All restaurants' seatings of one word stand together, so the sampling of a
-bucket of words needs from the others only the restaurants' totals, about a
-hundred numbers. Text is divided into blocks, in which tokens are numbered by
-their distinct (word, context) pairs; only the pairs are shuffled, as arrays.
+All restaurants' seatings of one word stand together. What the sampling of a
+bucket of words needs from the others are the totals of parents and root, about
+a hundred numbers, and those of the words' own contexts, which are added up by
+context between sweeps and sent back to the buckets that asked. Text is divided
+into blocks, in which tokens are numbered by their distinct (word, context)
+pairs; only the pairs are shuffled, as arrays.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,24 +44,49 @@ EXACT = 128
 _END = b"\n"
 
 
-def _classes() -> tuple[np.ndarray, np.ndarray]:
-    """Last byte of a word to context, and context to parent."""
-    context = np.full(256, 29, np.uint8)
-    context[ord("a"):ord("z") + 1] = np.arange(26)
-    context[ord("0"):ord("9") + 1] = 26
-    context[[ord(c) for c in ".!?"]] = 27
-    context[[ord(c) for c in ",;:"]] = 28
-    context[128:] = 30 + np.arange(128) % 32
-    parent = np.ones(63, np.uint8)
-    parent[[ord(c) - ord("a") for c in "aeiou"]] = 0
-    parent[[26, 29]], parent[27], parent[28], parent[30:62], parent[62] = 2, 3, 4, 5, 6
-    return context, parent
+def _classes() -> np.ndarray:
+    """Last byte of a word to its class."""
+    found = np.full(256, 29, np.uint8)
+    found[ord("a"):ord("z") + 1] = np.arange(26)
+    found[ord("0"):ord("9") + 1] = 26
+    found[[ord(c) for c in ".!?"]] = 27
+    found[[ord(c) for c in ",;:"]] = 28
+    found[128:] = 30 + np.arange(128) % 32
+    return found
 
 
-CONTEXT, PARENT = _classes()
-# The context of a text's first word.
+CLASSES = _classes()
+# The context of a text's first word, a class of its own.
 FIRST = 62
-_F, _G = len(PARENT), int(PARENT.max()) + 1
+_G = 63
+# A context has 40 bits: 34 of the word's hash and its class in the lowest 6.
+_CONTEXT_BYTES = 5
+_F = 1 << 8 * _CONTEXT_BYTES
+_CLASS = 63
+
+
+def contexts_of(words: list[bytes], hashes: np.ndarray) -> np.ndarray:
+    """The context that each word is for the next one."""
+    last = CLASSES[np.fromiter((w[-1] for w in words), np.uint8, len(words))]
+    return ((hashes >> np.uint64(30)) << np.uint64(6)).astype(np.int64) | last
+
+
+def _pack(contexts: np.ndarray) -> bytes:
+    return contexts.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :_CONTEXT_BYTES].T.tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // _CONTEXT_BYTES, 8), np.uint8)
+    out[:, :_CONTEXT_BYTES] = np.frombuffer(packed, np.uint8).reshape(_CONTEXT_BYTES, -1).T
+    return out.view("<i8").ravel()
+
+
+def _place(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``wanted`` stand in sorted ``values``, and which of them do."""
+    if not len(values):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+    return at, values[at] == wanted
 
 
 def _stirling(discount: float, most: int = EXACT) -> np.ndarray:
@@ -111,10 +138,8 @@ def sample_tables(counts: np.ndarray, weight: np.ndarray, discount: float, rng:
 
 @dataclass
 class Totals:
-    """Customers and tables of all restaurants, discounts by level, and the size of the training text."""
+    """Customers and tables of parents and root, discounts by level, and the size of the training text."""
 
-    leaf: np.ndarray
-    leaf_tables: np.ndarray
     parent: np.ndarray
     parent_tables: np.ndarray
     root: float
@@ -126,26 +151,40 @@ class Totals:
     @classmethod
     def of(cls, x: list[float], discounts: tuple[float, float, float] | None = None) -> Totals:
         x = np.array(x, float)
-        at = 2 * _F + 2 * _G
+        at = 2 * _G
         if discounts is None:
             # As in Kneser-Ney smoothing, from the words served once and twice.
             ones = x[at + 4:at + 10]
             discounts = tuple(
                 float(np.clip(a / (a + 2 * b), 0.1, 0.95)) if a else 0.5 for a, b in zip(ones[::2], ones[1::2], strict=True)
             )
-        return cls(x[:_F], x[_F:2 * _F], x[2 * _F:2 * _F + _G], x[2 * _F + _G:at], *x[at:at + 4], discounts)
+        return cls(x[:_G], x[_G:at], *x[at:at + 4], discounts)
 
 
 class Bucket:
-    """The training pairs of some words, sorted, with their seating."""
+    """The training pairs of some words, sorted, with their seating.
+
+    ``contexts`` are those of its pairs and others that will be asked for;
+    ``leaf`` and the last array of ``tables`` are their customers and tables,
+    of this bucket alone until the sums over all buckets are put there.
+    """
 
-    def __init__(self, hashes: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> None:
+    def __init__(self, hashes: np.ndarray, codes: np.ndarray, counts: np.ndarray, contexts: np.ndarray | None = None) -> None:
         self.hashes, self.codes, self.counts = hashes, codes, counts
-        self.word, self.context = codes // _F, codes % _F
-        self.coarse, self.up = np.unique(self.word * _G + PARENT[self.context], return_inverse=True)
+        self.word, context = codes // _F, codes % _F
+        self.contexts = np.unique(context) if contexts is None else contexts
+        self.at = np.searchsorted(self.contexts, context)
+        self.coarse, self.up = np.unique(self.word * _G + (context & _CLASS), return_inverse=True)
         self.coarse_word, self.group = self.coarse // _G, self.coarse % _G
+        self.leaf = self.by_context(counts)
         # At first each word has one table in each restaurant that serves it.
-        self.tables = np.ones(len(codes), np.int64), np.ones(len(self.coarse), np.int64), np.ones(len(hashes), np.int64)
+        self.tables = (
+            np.ones(len(codes), np.int64), np.ones(len(self.coarse), np.int64), np.ones(len(hashes), np.int64),
+            self.by_context(np.ones(len(codes))),
+        )
+
+    def by_context(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.at, values, len(self.contexts)).astype(np.int64)
 
     def customers(self, tables) -> tuple[np.ndarray, np.ndarray]:
         """Customers in parents and root: the tables below."""
@@ -159,20 +198,17 @@ class Bucket:
         parent, root = self.customers(t)
         served = [np.count_nonzero(c == k) for c in (self.counts, parent, root) for k in (1, 2)]
         return [float(v) for v in (
-            *np.bincount(self.context, self.counts, _F), *np.bincount(self.context, t[0], _F),
             *np.bincount(self.group, parent, _G), *np.bincount(self.group, t[1], _G),
             root.sum(), t[2].sum(), self.counts.sum(), len(self.hashes), *served,
         )]
 
     def shared(self, tables, totals: Totals) -> tuple[np.ndarray, np.ndarray]:
-        """Probability of each word in the root, and of each word in each parent."""
+        """Probability of each word in the root, and of each word in the parents that serve it."""
         _, d_parent, d_root = totals.discounts
         parent, root = self.customers(tables)
         unknown = root_share(totals) / (totals.words + 1)
         p_root = np.maximum(root - d_root * tables[2], 0) / (CONCENTRATION + totals.root) + unknown
-        share = (CONCENTRATION + d_parent * totals.parent_tables) / (CONCENTRATION + totals.parent)
-        p_parent = p_root[:, None] * share
-        p_parent[self.coarse_word, self.group] += np.maximum(parent - d_parent * tables[1], 0) / (
+        p_parent = p_root[self.coarse_word] * parent_share(totals)[self.group] + np.maximum(parent - d_parent * tables[1], 0) / (
             CONCENTRATION + totals.parent[self.group]
         )
         return p_root, p_parent
@@ -180,41 +216,50 @@ class Bucket:
     def sweep(self, totals: Totals, rng: np.random.Generator) -> None:
         """Draw all tables anew, from the leaves to the root."""
         d_leaf, d_parent, d_root = totals.discounts
-        leaf, parent, root = self.tables
+        old, parent, root, by_context = self.tables
         p_root, p_parent = self.shared(self.tables, totals)
-        others = np.maximum(totals.leaf_tables[self.context] - leaf, 0)
-        weight = (CONCENTRATION + d_leaf * others) * p_parent[self.word, PARENT[self.context]]
-        leaf = sample_tables(self.counts, weight, d_leaf, rng)
+        others = np.maximum(by_context[self.at] - old, 0)
+        leaf = sample_tables(self.counts, (CONCENTRATION + d_leaf * others) * p_parent[self.up], d_leaf, rng)
         below, _ = self.customers((leaf, parent, root))
         others = np.maximum(totals.parent_tables[self.group] - parent, 0)
         parent = sample_tables(below, (CONCENTRATION + d_parent * others) * p_root[self.coarse_word], d_parent, rng)
         _, below = self.customers((leaf, parent, root))
         others = np.maximum(totals.root_tables - root, 0)
         root = sample_tables(below, (CONCENTRATION + d_root * others) / (totals.words + 1), d_root, rng)
-        self.tables = leaf, parent, root
+        self.tables = leaf, parent, root, by_context + self.by_context(leaf - old)
 
     def predict(self, hashes: np.ndarray, context: np.ndarray, samples: list[tuple[tuple, Totals]]) -> tuple[np.ndarray, np.ndarray]:
         """Averaged probability of words in contexts, and their training counts."""
+        context = context.astype(np.int64)
         total = np.zeros(len(hashes))
-        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
-        known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
-        codes = at * _F + context
-        pair = np.minimum(np.searchsorted(self.codes, codes), max(0, len(self.codes) - 1))
-        met = known & (self.codes[pair] == codes) if len(self.codes) else known
+        at, known = _place(self.hashes, hashes)
+        group = context & _CLASS
+        pair, met = _place(self.codes, at * _F + context)
+        above, served = _place(self.coarse, at * _G + group)
+        here, used = _place(self.contexts, context)
+        met, served = met & known, served & known
+        customers = np.zeros(len(hashes))
+        customers[used] = self.leaf[here[used]]
         for tables, totals in samples:
-            d_leaf, d_parent, _ = totals.discounts
-            share = (CONCENTRATION + d_leaf * totals.leaf_tables) / (CONCENTRATION + totals.leaf)
-            coarse = (CONCENTRATION + d_parent * totals.parent_tables) / (CONCENTRATION + totals.parent)
-            p = coarse[PARENT[context]] * (root_share(totals) / (totals.words + 1))
-            if known.any():
-                p[known] = self.shared(tables, totals)[1][at[known], PARENT[context[known]]]
-            p *= share[context]
-            if met.any():
-                k = pair[met]
-                p[met] += np.maximum(self.counts[k] - d_leaf * tables[0][k], 0) / (CONCENTRATION + totals.leaf[context[met]])
+            d_leaf = totals.discounts[0]
+            p_root, p_parent = self.shared(tables, totals)
+            p = np.full(len(hashes), root_share(totals) / (totals.words + 1))
+            p[known] = p_root[at[known]]
+            p *= parent_share(totals)[group]
+            p[served] = p_parent[above[served]]
+            of_context = np.zeros(len(hashes))
+            of_context[used] = tables[3][here[used]]
+            p *= (CONCENTRATION + d_leaf * of_context) / (CONCENTRATION + customers)
+            k = pair[met]
+            p[met] += np.maximum(self.counts[k] - d_leaf * tables[0][k], 0) / (CONCENTRATION + customers[met])
             total += p
         counts = np.bincount(self.word, self.counts, len(self.hashes)) if len(self.hashes) else np.zeros(1)
-        return total / max(1, len(samples)), np.where(known, counts[at] if len(self.hashes) else 0, 0).astype(np.int64)
+        return total / max(1, len(samples)), np.where(known, counts[at], 0).astype(np.int64)
+
+
+def parent_share(totals: Totals) -> np.ndarray:
+    """What each parent leaves to the root."""
+    return (CONCENTRATION + totals.discounts[1] * totals.parent_tables) / (CONCENTRATION + totals.parent)
 
 
 def root_share(totals: Totals) -> float:
@@ -244,29 +289,32 @@ class _Block:
         order = np.lexsort((hashes, bucket))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        last = CONTEXT[np.fromiter((w[-1] for w in words), np.uint8, len(words))]
+        contexts = np.append(contexts_of(words, hashes), FIRST)
         tokens, lengths = np.concatenate(self.tokens), np.array(self.lengths, np.int32)
-        context = np.empty(len(tokens), np.uint8)
-        context[1:] = last[tokens[:-1]]
-        context[np.cumsum(lengths) - lengths] = FIRST
+        before = np.empty(len(tokens), np.int64)
+        before[1:] = tokens[:-1]
+        before[np.cumsum(lengths) - lengths] = len(words)
         learnt = np.repeat(~np.array(self.held, bool), lengths)
-        codes, numbers = np.unique(rank[tokens] * _F + context, return_inverse=True)
+        codes, numbers = np.unique(rank[tokens] * len(contexts) + before, return_inverse=True)
         counts = np.bincount(numbers[learnt], minlength=len(codes)).astype(np.uint32)
         hashes, bucket = hashes[order], bucket[order]
-        of_word = codes // _F
-        pairs = np.bincount(of_word, minlength=len(words)).astype(np.uint8)
+        of_word = codes // len(contexts)
+        pairs = np.bincount(of_word, minlength=len(words)).astype(np.uint32)
         cut = np.flatnonzero(np.diff(bucket, prepend=-1))
         word_ends = np.append(cut[1:], len(words))
         pair_at = np.searchsorted(of_word, np.append(cut, len(words)))
-        contexts = (codes % _F).astype(np.uint8)
+        contexts = contexts[codes % len(contexts)]
         return lengths.tobytes(), numbers.astype(np.int32).tobytes(), [
-            (int(bucket[a]), hashes[a:b].tobytes(), pairs[a:b].tobytes(), contexts[c:d].tobytes(), counts[c:d].tobytes())
+            (int(bucket[a]), hashes[a:b].tobytes(), pairs[a:b].tobytes(), _pack(contexts[c:d]), counts[c:d].tobytes())
             for a, b, c, d in zip(cut.tolist(), word_ends.tolist(), pair_at[:-1].tolist(), pair_at[1:].tolist(), strict=True)
         ]
 
 
 _PAIRS = "hashes binary, pairs binary, contexts binary, counts binary"
-_STATE = "bucket int, hashes binary, codes binary, counts binary, tables binary, kept array<binary>, totals array<double>"
+_STATE = (
+    "bucket int, hashes binary, codes binary, counts binary, contexts binary, leaf binary, single binary, tables binary, "
+    "kept array<binary>, totals array<double>"
+)
 
 
 def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
@@ -303,73 +351,169 @@ def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
 def _merge(pdf: pd.DataFrame) -> Bucket:
     """The training pairs of a bucket from all blocks."""
     hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["hashes"]])
-    pairs = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["pairs"]])
-    contexts = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["contexts"]])
+    pairs = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["pairs"]])
+    contexts = np.concatenate([_unpack(x) for x in pdf["contexts"]])
     counts = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["counts"]])
     seen = counts > 0
     repeated = np.repeat(hashes, pairs)[seen]
     words, at = np.unique(repeated, return_inverse=True)
+    if len(words) > np.iinfo(np.int64).max // _F:
+        raise ValueError("too many words in a bucket")
     codes, to = np.unique(at * _F + contexts[seen], return_inverse=True)
-    return Bucket(words, codes, np.bincount(to, counts[seen], len(codes)).astype(np.int64))
+    return Bucket(words, codes, np.bincount(to, counts[seen], len(codes)).astype(np.int64), np.unique(contexts))
 
 
-def _row(bucket: int, b: Bucket, kept: list[bytes]) -> tuple:
+def _row(bucket: int, b: Bucket, single: bytes, kept: list[bytes]) -> tuple:
     tables = np.concatenate(b.tables).astype(np.uint32).tobytes()
-    return bucket, b.hashes.tobytes(), b.codes.tobytes(), b.counts.tobytes(), tables, kept, b.totals()
+    return (
+        bucket, b.hashes.tobytes(), b.codes.tobytes(), b.counts.astype(np.uint32).tobytes(), _pack(b.contexts),
+        b.leaf.astype(np.uint32).tobytes(), single, tables, kept, b.totals(),
+    )
 
 
 def _load(row) -> Bucket:
-    b = Bucket(np.frombuffer(row["hashes"], np.uint64), np.frombuffer(row["codes"], np.int64), np.frombuffer(row["counts"], np.int64))
+    b = Bucket(
+        np.frombuffer(row["hashes"], np.uint64), np.frombuffer(row["codes"], np.int64),
+        np.frombuffer(row["counts"], np.uint32).astype(np.int64), _unpack(row["contexts"]),
+    )
+    b.leaf = np.frombuffer(row["leaf"], np.uint32).astype(np.int64)
     b.tables = _tables(b, row["tables"])
     return b
 
 
-def _tables(b: Bucket, packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tables(b: Bucket, packed: bytes) -> tuple[np.ndarray, ...]:
     flat = np.frombuffer(packed, np.uint32).astype(np.int64)
-    return tuple(np.split(flat, np.cumsum([len(b.codes), len(b.coarse)])))
+    return tuple(np.split(flat, np.cumsum([len(b.codes), len(b.coarse), len(b.hashes)])))
 
 
 def _sum(state: DataFrame) -> list[float]:
     """The totals of all buckets: a fixed count of numbers."""
     rows = state.selectExpr("posexplode(totals) AS (k, v)").groupBy("k").agg(F.sum("v").alias("v")).collect()
     found = {r["k"]: r["v"] for r in rows}
-    return [found.get(k, 0.0) for k in range(2 * _F + 2 * _G + 10)]
+    return [found.get(k, 0.0) for k in range(2 * _G + 10)]
+
+
+def _moving(b: Bucket) -> np.ndarray:
+    """The contexts in which some word of the bucket has tables to draw."""
+    return b.by_context(b.counts > 1) > 0
+
+
+def _first(b: Bucket) -> tuple[np.ndarray, list[np.ndarray]]:
+    one = b.counts == 1
+    return np.ones(len(b.contexts), bool), [b.leaf, b.by_context(one), b.by_context(~one)]
+
+
+def _drawn(b: Bucket) -> tuple[np.ndarray, list[np.ndarray]]:
+    return _moving(b), [b.by_context(np.where(b.counts > 1, b.tables[0], 0))]
+
+
+def _at_last(b: Bucket, kept: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    return np.ones(len(b.contexts), bool), [b.by_context(_tables(b, t)[0]) for t in kept]
+
 
+def _summed(state: DataFrame, wanted: Callable[[Bucket, list[bytes]], tuple[np.ndarray, list[np.ndarray]]], shards: int) -> DataFrame:
+    """``(bucket, shard, sums)``: values by context, added up over all buckets, for the contexts that a bucket names.
 
-def train(pairs: DataFrame) -> tuple[DataFrame, list[Totals]]:
-    """The sampled state of every bucket, and the totals of each sample kept."""
+    ``wanted`` tells which contexts of a bucket and its values. A shard has the
+    contexts of a range, so a bucket's shards in their order have its contexts in theirs.
+    """
+    schema = "bucket int, shard int, contexts binary, values binary"
+    width = _F // shards + 1
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                b = _load(row)
+                which, values = wanted(b, row["kept"])
+                contexts, values = b.contexts[which], np.stack([v[which] for v in values]).astype(np.uint32)
+                shard = contexts // width
+                cut = np.flatnonzero(np.diff(shard, prepend=-1))
+                for low, high in zip(cut.tolist(), [*cut.tolist()[1:], len(shard)]):
+                    rows.append((row["bucket"], int(shard[low]), _pack(contexts[low:high]), values[:, low:high].tobytes()))
+            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _names(schema))
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        contexts = [_unpack(x) for x in pdf["contexts"]]
+        values = [np.frombuffer(v, np.uint32).reshape(-1, len(c)) for v, c in zip(pdf["values"], contexts, strict=True)]
+        ends = np.cumsum([len(c) for c in contexts])
+        found, at = np.unique(np.concatenate(contexts), return_inverse=True)
+        sums = np.stack([np.bincount(at, v, len(found)) for v in np.concatenate(values, axis=1)]).astype(np.uint32)[:, at]
+        return pd.DataFrame({
+            "bucket": pdf["bucket"], "shard": pdf["shard"], "sums": [sums[:, e - len(c):e].tobytes() for e, c in zip(ends.tolist(), contexts)],
+        })
+
+    sent = state.select(*_names(_STATE)[:-1]).mapInArrow(send, schema)
+    return sent.groupBy("shard").applyInPandas(add, "bucket int, shard int, sums binary")
+
+
+def _read(sums: pd.DataFrame, values: int) -> np.ndarray:
+    """The sums of one bucket in the order of its contexts, a row for each value."""
+    parts = [np.frombuffer(x, np.uint32).reshape(values, -1) for x in sums.sort_values("shard")["sums"]]
+    return np.concatenate([np.zeros((values, 0), np.uint32), *parts], axis=1).astype(np.int64)
+
+
+def train(pairs: DataFrame, shards: int = MIN_BUCKETS) -> tuple[DataFrame, list[Totals]]:
+    """The sampled state of every bucket, and the totals of each sample kept.
+
+    In the state returned each sample also has the tables of the bucket's contexts.
+    """
     spark = pairs.sparkSession
 
     def first(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([_row(int(pdf["bucket"].iloc[0]), _merge(pdf), [])], columns=_names(_STATE))
+        return pd.DataFrame([_row(int(pdf["bucket"].iloc[0]), _merge(pdf), b"", [])], columns=_names(_STATE))
 
     def written(df: DataFrame) -> tuple[DataFrame, str]:
         folder = new_folder(spark, "seating")
         df.write.option("compression", "zstd").parquet(folder)
         return spark.read.schema(_STATE).parquet(folder), folder
 
+    def given(state: DataFrame, folder: str, wanted, work) -> tuple[DataFrame, str]:
+        """The state after ``work(bucket, row, sums)``, which returns the bytes of its single tables and the samples."""
+
+        def one(mine: pd.DataFrame, sums: pd.DataFrame) -> pd.DataFrame:
+            row = mine.iloc[0]
+            b = _load(row)
+            single, kept = work(b, row, sums)
+            return pd.DataFrame([_row(row["bucket"], b, single, kept)], columns=_names(_STATE))
+
+        sums = _summed(state, wanted, shards)
+        new = written(state.groupBy("bucket").cogroup(sums.groupBy("bucket")).applyInPandas(one, _STATE))
+        drop_folder(spark, folder)
+        return new
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     state, folder = written(pairs.groupBy("bucket").applyInPandas(first, _STATE))
+
+    def begin(b: Bucket, row, sums: pd.DataFrame) -> tuple[bytes, list]:
+        b.leaf, single, more = _read(sums, 3)
+        b.tables = *b.tables[:3], single + more
+        return single.astype(np.uint32).tobytes(), []
+
+    state, folder = given(state, folder, lambda b, kept: _first(b), begin)
     totals = Totals.of(_sum(state))
     kept: list[Totals] = []
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     for number in range(BURN_IN + SAMPLES):
 
-        def sweep(batches: Iterator[pa.RecordBatch], totals=totals, number=number) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows = []
-                for row in batch.to_pylist():
-                    b = _load(row)
-                    b.sweep(totals, np.random.default_rng([SEED, number, row["bucket"]]))
-                    new = _row(row["bucket"], b, row["kept"])
-                    rows.append((*new[:5], row["kept"] + [new[4]] * (number >= BURN_IN), new[6]))
-                kinds = [pa.int32(), *[pa.binary()] * 4, pa.list_(pa.binary()), pa.list_(pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], _names(_STATE))
-
-        state, new_one = written(state.mapInArrow(sweep, _STATE))
-        drop_folder(spark, folder)
-        folder, totals = new_one, Totals.of(_sum(state), totals.discounts)
+        def sweep(b: Bucket, row, sums: pd.DataFrame, totals=totals, number=number) -> tuple[bytes, list]:
+            moving, of_context = _moving(b), b.tables[3].copy()
+            of_context[moving] = np.frombuffer(row["single"], np.uint32)[moving] + _read(sums, 1)[0]
+            b.tables = *b.tables[:3], of_context
+            b.sweep(totals, np.random.default_rng([SEED, number, row["bucket"]]))
+            drawn = np.concatenate(b.tables[:3]).astype(np.uint32).tobytes()
+            return row["single"], [*row["kept"], *[drawn] * (number >= BURN_IN)]
+
+        state, folder = given(state, folder, lambda b, kept: _drawn(b), sweep)
+        totals = Totals.of(_sum(state), totals.discounts)
         if number >= BURN_IN:
             kept.append(totals)
+
+    def end(b: Bucket, row, sums: pd.DataFrame) -> tuple[bytes, list]:
+        of_context = _read(sums, SAMPLES).astype(np.uint32)
+        return b"", [t + x.tobytes() for t, x in zip(row["kept"], of_context, strict=True)]
+
+    state, folder = given(state, folder, _at_last, end)
     return state, kept
 
 
@@ -395,7 +539,7 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text")
     made.write.option("compression", "zstd").parquet(folder)
     rows = spark.read.schema(made.schema).parquet(folder)
     pairs = rows.where("bucket >= 0").select("block", "bucket", *_names(_PAIRS))
-    state, kept = train(pairs)
+    state, kept = train(pairs, buckets)
     tokens, words = (kept[-1].tokens, kept[-1].words)
 
     def answer(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
@@ -406,12 +550,12 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text")
         samples = [(_tables(b, t), x) for t, x in zip(row["kept"], kept, strict=True)]
         out = []
         for r in asked.itertuples(index=False):
-            hashes = np.repeat(np.frombuffer(r.hashes, np.uint64), np.frombuffer(r.pairs, np.uint8))
-            p, seen = b.predict(hashes, np.frombuffer(r.contexts, np.uint8), samples)
+            hashes = np.repeat(np.frombuffer(r.hashes, np.uint64), np.frombuffer(r.pairs, np.uint32))
+            p, seen = b.predict(hashes, _unpack(r.contexts), samples)
             out.append((r.block, r.bucket, np.log10(p).astype(np.float32).tobytes(), seen.astype(np.uint32).tobytes()))
         return pd.DataFrame(out, columns=["block", "bucket", "log_p", "seen"])
 
-    answers = pairs.drop("counts").groupBy("bucket").cogroup(state.select("bucket", "hashes", "codes", "counts", "tables", "kept").groupBy("bucket")).applyInPandas(
+    answers = pairs.drop("counts").groupBy("bucket").cogroup(state.drop("single", "totals").groupBy("bucket")).applyInPandas(
         answer, "block string, bucket int, log_p binary, seen binary"
     )
     kind = dict(chosen.dtypes)["doc_id"]

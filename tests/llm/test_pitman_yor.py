@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyfold.llm import pitman_yor as py
 from tallyfold.llm.queries import QUERIES
@@ -102,3 +103,35 @@ def test_edge_cases(spark):
     untrained = py.by_checksum(d.where("doc_id is null")).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in untrained] == [(3, 0, 0)]
     assert xxhash.xxh64_intdigest(b"\n") != xxhash.xxh64_intdigest(b"")
+
+
+def test_contexts_are_words(spark):
+    """Two words that end alike predict what followed each of them, summed up over buckets."""
+    docs = [(k, "at new york here") for k in range(30)] + [(30 + k, "at view point here") for k in range(30)]
+    docs += [(k, "at new york here") for k in range(100, 104)] + [(k, "at new point here") for k in range(200, 204)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    by = {r.doc_id: r.score for r in py.score(d, F.col("doc_id") >= 100).collect()}
+    assert by[100] - by[200] > 0.5
+    contexts = py.contexts_of([b"new", b"view"], np.array([xxhash.xxh64_intdigest(w) for w in (b"new", b"view")], np.uint64))
+    assert contexts[0] != contexts[1] and (contexts & 63 == ord("w") - ord("a")).all()
+    assert (py._unpack(py._pack(contexts)) == contexts).all()
+
+
+def test_totals_of_contexts_do_not_depend_on_buckets(spark):
+    """Customers and tables of a context are those of its pairs in all buckets."""
+    rng = np.random.default_rng(3)
+    docs = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.5, 60) % 40)) for k in range(40)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    made = py._blocks(d.select("doc_id", "held_out", "text"), 7).where("bucket >= 0").select("block", "bucket", *py._names(py._PAIRS))
+    state, kept = py.train(made, 5)
+    customers, tables, told = Counter(), Counter(), {}
+    for r in state.collect():
+        b = py._load(r)
+        sample = py._tables(b, r["kept"][-1])
+        for c, n, t in zip(b.codes % py._F, b.counts, sample[0], strict=True):
+            customers[int(c)] += int(n)
+            tables[int(c)] += int(t)
+        for c, n, t in zip(b.contexts, b.leaf, sample[3], strict=True):
+            told.setdefault(int(c), set()).add((int(n), int(t)))
+    assert len(told) > 30 and told == {c: {(customers[c], tables[c])} for c in told}
+    assert sum(customers.values()) == kept[-1].tokens
