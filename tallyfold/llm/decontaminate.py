@@ -277,10 +277,11 @@ def _united(pdf: pd.DataFrame) -> pd.DataFrame:
     """The portions' matches of one document as one row."""
     spans = _merged([s for a, b in zip(pdf["starts"], pdf["ends"], strict=True) for s in zip(a.tolist(), b.tolist(), strict=True)])
     items = sorted({x for xs in pdf["items"] for x in xs})
-    near = {x for xs in pdf["near_items"] for x in xs}
+    near = sorted({x for xs in pdf["near_items"] for x in xs})
     return pd.DataFrame({
         "block": [pdf["block"].iloc[0]], "doc": [pdf["doc"].iloc[0]], "n_hit": [sum(e - s for s, e in spans)],
         "n_items": [len(items)], "items": [",".join(items)], "n_near_items": [len(near)],
+        "near_items": [",".join(near)],
     })
 
 
@@ -288,9 +289,11 @@ def contamination(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
     item_text: str = "text", size: int = WINDOW, slop: int = SLOP, folder: str | None = None,
 ) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items)`` for every row of ``docs``.
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items, near_items, near_items_sha256)``
+    for every row of ``docs``.
 
-    n_hit counts the words inside any exact occurrence of a benchmark window.
+    n_hit counts the words inside any exact occurrence of a benchmark window;
+    the near items are those matched by proximity, exact matches included.
     Null texts have no words, items without words no window, and a null item id
     is left out of the item list as it has no name. Repeated rows each give a
     row; other columns are ignored; empty tables give no rows or no hits.
@@ -301,7 +304,7 @@ def contamination(
     wanted = windows(items.where(F.col(item_id).isNotNull()), item_id, item_text, size)
     hits = (
         matches(index, wanted, size, slop).groupBy("block", "doc")
-        .applyInPandas(_united, "block string, doc int, n_hit long, n_items long, items string, n_near_items long")
+        .applyInPandas(_united, "block string, doc int, n_hit long, n_items long, items string, n_near_items long, near_items string")
     )
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,6 +327,8 @@ def contamination(
         F.coalesce(F.sha2(F.col("items").cast("binary"), 256), F.lit(none)).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         F.coalesce("n_near_items", F.lit(0).cast("long")).alias("n_near_items"),
+        F.coalesce("near_items", F.lit("")).alias("near_items"),
+        F.coalesce(F.sha2(F.col("near_items").cast("binary"), 256), F.lit(none)).alias("near_items_sha256"),
     )
 
 

@@ -43,7 +43,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("n_near_items")
+    return found.drop("n_near_items", "near_items", "near_items_sha256")
+
+
+def op8_benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the SQL of the exact matches does not cover: items whose words stand near their places, per document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "contaminated", "n_near_items", "near_items", "near_items_sha256")
 
 
 def op9_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op8_benchmark_proximity": op8_benchmark_proximity,
     "op9_sentencepiece_nbest": op9_sentencepiece_nbest,
     "op10_lm_scoring": op10_lm_scoring,
 }

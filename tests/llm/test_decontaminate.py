@@ -109,3 +109,17 @@ def test_empty_tables(spark):
     b = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert rows(decontaminate.contamination(d, b.limit(0)))[0][1:4] == (2, 0, 0)
     assert decontaminate.contamination(d.limit(0), b).count() == 0
+
+
+def test_registered_query_returns_proximity_matches(spark, tmp_path):
+    """An inserted word hides a passage from the exact matches, not from the near ones."""
+    passage = "one two three four five six seven eight nine ten"
+    spark.createDataFrame([
+        (1, passage), (2, passage.replace("five", "five odd")), (3, "one two three"), (4, None),
+    ], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("b", passage), ("a", passage + " eleven")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: r for r in QUERIES["op8_benchmark_proximity"](spark, str(tmp_path)).collect()}
+    assert {i: (r.contaminated, r.n_near_items, r.near_items) for i, r in got.items()} == {
+        1: (True, 2, "a,b"), 2: (False, 2, "a,b"), 3: (False, 0, ""), 4: (False, 0, ""),
+    }
+    assert all(r.near_items_sha256 == hashlib.sha256(r.near_items.encode()).hexdigest() for r in got.values())
