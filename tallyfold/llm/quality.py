@@ -24,6 +24,8 @@ MIN_LETTER_SHARE = 0.4
 MAX_CAPITAL_SHARE = 0.8
 # Capitals and letters are only judged in lines of at least so many words.
 JUDGED_WORDS = 5
+# So is the mark at the end.
+END_MARK_WORDS = JUDGED_WORDS
 # A document goes if it loses more than this share of its word characters.
 MAX_LOST_SHARE = 0.5
 # Phrases of page furniture and licence notes; lines of up to
@@ -39,7 +41,8 @@ NAVIGATION = frozenset("home about contact next previous menu login search help
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _SYMBOL = re.compile("[" + re.escape(SYMBOLS) + "]")
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)))
-_END = re.compile(r"[.!?…:;\"'”»)\]]$")
+# Marks at the end of a line, those of other scripts included.
+_END = re.compile(r"[.!?…:;\"'”»)\]‘’“«›‹。．！？：；」』）】》।॥؟۔؛።፧։՜՞។៕၊။༎།]$")
 REASONS = ("symbols", "navigation", "boilerplate", "letters", "capitals", "punctuation")
 
 
@@ -66,9 +69,9 @@ def line_fault(line: str, words: list) -> str | None:
             return "letters"
         if sum(map(str.isupper, letters)) > MAX_CAPITAL_SHARE * len(letters):
             return "capitals"
-        # Long runs of words without any mark are lists or debris.
-        if len(words) >= 10 * JUDGED_WORDS and not _END.search(line.rstrip()) and not re.search(r"[.,;:!?]", line):
-            return "punctuation"
+    # Without a mark at its end a line is cut off, an item of a list or debris.
+    if len(words) >= END_MARK_WORDS and not _END.search(line.rstrip()):
+        return "punctuation"
     return None
 
 

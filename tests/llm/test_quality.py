@@ -58,3 +58,14 @@ def test_edge_cases(spark):
     assert left[4] == good and set(left) == {4, None, 7, 8}
     assert quality.judge(d.limit(0)).count() == 0
     assert quality.clean_lines(good + "\nhome | about | news")[0] == good
+
+
+@pytest.mark.parametrize("line,fault", [
+    ("the first of many words, then a cut in the", "punctuation"), ("five words and no mark", "punctuation"), ("only four words here", None),
+    ("The council met on Monday, and", "punctuation"), ("word, " * 49, "punctuation"), ("five words and a mark. ", None),
+    ("He said: \"these are the words\"", None), ("यह एक छोटा सा वाक्य है।", None), ("هل هذه جملة قصيرة مع علامة؟", None),
+    ("这 是 一 个 句子。", None),
+])
+def test_end_marks(line, fault):
+    """A mark inside the line does not excuse it, nor do fewer than fifty words."""
+    assert quality.line_fault(line, quality.words_of(line)) == fault
