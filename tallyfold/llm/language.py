@@ -32,8 +32,9 @@ LEEWAY = 0.7
 # Divides log-likelihoods before they are compared as probabilities, since neighbouring n-grams are not independent.
 TEMPERATURE = 4.0
 UNKNOWN = "und"
-# A text with more nats per character than this is mostly of letters that its best language has never had.
-MOST_ENTROPY = 6.0
+# Where a language has no calibration, a text is rejected that costs as much as if more than this share of its
+# characters were letters the language has never had, and the others came at its unigram entropy.
+MOST_UNSEEN = 0.5
 _SPACE, _ASTRAL = 32, 1
 # Below single characters all keys are equally likely.
 _KEYS = 65_536
@@ -90,11 +91,22 @@ def _find(where: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, where[at] == keys
 
 
+def _unigram_entropy(keys: np.ndarray, counts: np.ndarray) -> float:
+    """Nats per character of n-grams' last characters, with Miller and Madow's correction for few of them."""
+    _, at = np.unique(_suffix(keys, 1), return_inverse=True)
+    n = np.bincount(at, counts)
+    if not len(n):
+        return float(np.log(_KEYS))
+    share = n / n.sum()
+    return float(-(share * np.log(share)).sum() + (len(n) - 1) / (2 * n.sum()))
+
+
 class _Language:
     """Kneser-Ney probabilities of one language, by order."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys, self.p, self.context, self.back = {}, {}, {}, {}
+        self.entropy = _unigram_entropy(keys, counts)
         found = {ORDER: (keys, counts)}
         for n in range(ORDER - 1, 0, -1):
             # Below the highest order an n-gram counts once for each character seen before it.
@@ -136,6 +148,7 @@ class Model:
     log_back: dict[int, np.ndarray] = field(default_factory=dict)
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None
+    uncalibrated: np.ndarray | None = None
 
     @classmethod
     def fit(cls, counted: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
@@ -150,6 +163,8 @@ class Model:
             model.log_back[n] = np.log(np.stack([p.weight(n, model.context[n]) for p in parts], axis=1)).astype(np.float32)
         if parts:
             model.mean, model.spread = np.zeros(len(parts)), np.full(len(parts), np.inf)
+            own = np.array([min(p.entropy, np.log(_KEYS)) for p in parts])
+            model.uncalibrated = own + MOST_UNSEEN * (np.log(_KEYS) - own)
         return model
 
     def log_probs(self, keys: np.ndarray, n: int = ORDER) -> np.ndarray:
@@ -209,7 +224,7 @@ class Model:
         score = 1 / weights.sum(axis=1)
         entropy = -sums.max(axis=1) / np.maximum(n, 1)
         limit = self.mean[best] + MARGIN * np.maximum(self.spread[best] / np.sqrt(np.maximum(n, 1)), LEEWAY)
-        limit = np.minimum(limit, MOST_ENTROPY)
+        limit = np.where(np.isfinite(self.spread[best]), limit, self.uncalibrated[best])
         return [
             (self.languages[b], float(s), float(e), bool(e > x))
             for b, s, e, x in zip(best.tolist(), score, entropy, limit, strict=True)
@@ -225,18 +240,26 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     """A model from ``labelled`` rows with text and language.
 
     About ``SAMPLE_DOCS`` texts of each language are taken by hash, from rows of
-    at most ``SAMPLE_CHARS`` characters; twice that number is a hard bound. Only
-    their n-gram counts and the calibration texts come to the driver.
+    at most ``SAMPLE_CHARS`` characters, or the beginnings of longer ones where
+    a language has no other; twice that number is a hard bound. A language whose
+    sample would all go to calibration is counted from it instead. Only n-gram
+    counts and the calibration texts come to the driver.
     """
-    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
-    wanted = rows.groupBy(F.col(lang).alias("lang")).count().select("lang", (SAMPLE_DOCS / F.col("count")).alias("share"))
+    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    short = F.length(text) <= SAMPLE_CHARS
+    wanted = rows.groupBy(F.col(lang).alias("lang")).agg(F.count_if(short).alias("short"), F.count("*").alias("all")).select(
+        "lang", (F.col("short") == 0).alias("cut"),
+        (SAMPLE_DOCS / F.when(F.col("short") > 0, F.col("short")).otherwise(F.col("all"))).alias("share"),
+    )
     mark = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(1 << 30))
     taken = (
-        rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), mark.alias("mark"))
+        rows.select(F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"), mark.alias("mark"), short.alias("short"))
         # One row for each language, of which the model keeps a column: few enough to broadcast.
-        .join(F.broadcast(wanted), "lang").where(F.col("mark") < F.col("share") * (1 << 30))
+        .join(F.broadcast(wanted), "lang").where((F.col("short") | F.col("cut")) & (F.col("mark") < F.col("share") * (1 << 30)))
         .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("mark", "text")))
-        .where(F.col("n") <= 2 * SAMPLE_DOCS).drop("share", "n")
+        .where(F.col("n") <= 2 * SAMPLE_DOCS).drop("share", "n", "short", "cut")
+        .withColumn("some", F.max(F.col("mark") % CALIBRATE != 0).over(Window.partitionBy("lang")))
+        .withColumn("counted", (F.col("mark") % CALIBRATE != 0) | ~F.col("some")).drop("some")
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,10 +278,10 @@ def train(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
     taken = taken.persist()
     counted = (
-        map_batches(taken.where(F.col("mark") % CALIBRATE != 0), count, "lang string, gram long, n long")
+        map_batches(taken.where("counted"), count, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     )
-    held = taken.where(F.col("mark") % CALIBRATE == 0).select("lang", "text").orderBy("lang", "mark").toPandas()
+    held = taken.where("not counted").select("lang", "text").orderBy("lang", "mark").toPandas()
     taken.unpersist()
     tables = {}
     for name, part in counted.groupby("lang"):

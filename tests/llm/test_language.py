@@ -115,3 +115,26 @@ def test_edge_cases(spark):
     assert language.held_out(d.limit(0)).count() == 0 and language.spoken(d.limit(0)).count() == 0
     nameless = d.where("lang is null")
     assert {r.lang_pred for r in language.held_out(nameless).collect()} == {"und"}
+
+
+def test_scripts_of_many_characters_are_not_rejected():
+    """Texts inside the calibrated limit stay above six nats; without calibration the limit follows the language."""
+    rng = np.random.default_rng(1)
+    texts = ["".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 1_500, 100)) for _ in range(200)]
+    latin = ["the cat sat on the mat and the dog ran", "a dog and a cat"]
+    model = fit({"zh": texts[:120], "en": latin})
+    plain = model.predict([texts[150], "the dog sat", "жжж щщщ ъъъ ыыы"])
+    assert plain[0][:1] == ("zh",) and plain[0][2] > 6 and [r[3] for r in plain] == [False, False, True]
+    model.calibrate([("zh", t) for t in texts[120:150]])
+    assert not any(r[3] for r in model.predict(texts[150:]))
+
+
+def test_every_labelled_language_is_learnt(spark):
+    """Also one whose texts are all long, and one whose only text falls to calibration."""
+    made = spark.range(200).selectExpr("id AS doc_id", "concat('et kort dokument nummer ', id) AS text")
+    held = made.where(f"pmod(xxhash64(doc_id, text), {1 << 30}) % {language.CALIBRATE} = 0").limit(1).selectExpr("*", "'da' AS lang")
+    long = spark.createDataFrame([(1, "die katze und der hund " * 3_000, "de"), (2, "der hund " * 6_000, "de")], held.schema)
+    short = spark.createDataFrame([(k, f"the cat and the dog {k}", "en") for k in range(40)], held.schema)
+    model = language.train(short.unionByName(long).unionByName(held))
+    assert model.languages == ["da", "de", "en"]
+    assert [r[0] for r in model.predict(["die katze", "the dog", "dokument nummer"])] == ["de", "en", "da"]
