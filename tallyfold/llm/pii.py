@@ -27,9 +27,16 @@ PATTERNS = {
 }
 # What a text must contain for a format to be looked for.
 _HINTS = {"email": "@", "ip": ".", "phone": "+"}
-# Identifiers that may be discovered: runs of at least 6 of these characters with 4 digits or more.
+# Identifiers that may be discovered: names joined to a host by an at sign, however it is written; groups of digits
+# joined by single blanks, hyphens, brackets, slashes or dots; runs of at least 6 of these characters with a digit; and
+# words joined by dots. Those with digits and no at sign need 4 of them.
 _RUN = "[A-Za-z0-9@#_+./-]"
-CANDIDATE = rf"(?:\G|(?<!{_RUN}))(?=[A-Za-z@#_+./-]*+[0-9]){_RUN}{{6,}}+"
+_AT = r"(?:@|[(\[](?i:at)[)\]])"
+_GROUPS = r"\(?+[0-9]++(?:(?:\)[\x20/.-]?|[\x20/.-])?+\(?+[0-9]++){1,18}"
+CANDIDATE = (
+    rf"(?:\G|(?<!{_RUN}))(?:{_LOCAL}++{_AT}[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+|{_GROUPS}(?!{_RUN})"
+    rf"|(?=[A-Za-z@#_+./-]*+[0-9]){_RUN}{{6,}}+|[A-Za-z_-]++(?:\.[A-Za-z_-]++)++)"
+)
 CANDIDATE_DIGITS = 4
 # The pattern before an entity: one or two words on its line, within so many characters.
 CONTEXT_CHARS = 64
@@ -139,7 +146,7 @@ def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     raw = _once(
         rows, ["rid", "doc_id"], **{k: looked_for(k) for k in KINDS},
-        candidates=F.when(t.rlike("[0-9]"), _pieces(t, CANDIDATE)).otherwise(_pieces(F.lit(""), CANDIDATE)),
+        candidates=F.when(t.rlike("[0-9@.]|(?i:[(\\[]at[)\\]])"), _pieces(t, CANDIDATE)).otherwise(_pieces(F.lit(""), CANDIDATE)),
     )
 
     def valid(kind: str) -> Column:
@@ -147,9 +154,9 @@ def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     placed = _once(raw, ["rid", "doc_id"], **{k: valid(k) for k in KINDS}, candidates=_placed(F.col("candidates")))
     base = F.concat(*(F.col(k) for k in KINDS))
-    fit = F.filter("candidates", lambda c: (F.length(_digits(c["text"])) >= CANDIDATE_DIGITS) & ~F.exists(
-        base, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])
-    ))
+    fit = F.filter("candidates", lambda c: (
+        (F.length(_digits(c["text"])) >= CANDIDATE_DIGITS) | ~c["text"].rlike("[0-9]") | c["text"].rlike(_AT)
+    ) & ~F.exists(base, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
     return settle(placed.withColumn("candidates", fit))
 
 

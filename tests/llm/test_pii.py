@@ -91,3 +91,16 @@ def test_scores_rise_with_belief(spark):
 def test_no_python_in_the_plan(spark):
     df = QUERIES["op2_pii"](spark, SF)
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().toString())
+
+
+@pytest.mark.parametrize("kind,seed,unseen", [
+    ("email", "user{k}@mail.example.com", ["anna.k(at)example.org", "anna[AT]example.org", "user@localhost", "anna.k"]),
+    ("phone", "+49 30 12345{k:02d}", ["030 5550 1234", "(555) 010-0123", "030-5550-1234", "555 (010) 0123"]),
+])
+def test_forms_with_blanks_or_without_digits(spark, kind, seed, unseen):
+    docs = [(k, "Please write to: " + seed.format(k=k) + ", thanks") for k in range(40)]
+    docs += [(100 + k, f"Please write to: {x}, thanks") for k, x in enumerate(unseen)] + [(200, f"No. {unseen[0]} is not it")]
+    rows = {r.doc_id: r for r in pii.identify(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k, x in enumerate(unseen):
+        assert rows[100 + k].spans == f"new_{kind}:17:{17 + len(x)}", x
+    assert rows[200].n_new == 0 and all(rows[k].n_new == 0 for k in range(40))
