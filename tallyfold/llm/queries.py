@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import decontaminate, language, pieces, pii, pitman_yor, quality, secrets, sharding, simhash, warc
+from tallyfold.llm import (
+    decontaminate, language, periodic, pieces, pii, pitman_yor, quality, secrets, sharding, simhash, toxicity, warc,
+    whitening,
+)
 from tallyfold.llm.common import table
 
 # The public tokenizer of the box; another installation names its own file.
@@ -60,6 +63,37 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.by_checksum(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _fold(modulus: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), _fold(4) != 2)
+    return toxicity.score(docs, model).select("doc_id", (_fold(4) == 2).alias("held_out"), "score", "predicted")
+
+
+def planted_words(docs: DataFrame) -> DataFrame:
+    """``(doc_id, words)``: the words of each text, made periodic from a point where crc32 of the id ends in 0."""
+    words = F.coalesce(F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), 0), F.array().cast("array<string>"))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, g = F.size("w"), F.floor(h / 10)
+    a = F.pmod(g, n)
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    moved = F.transform("w", lambda x, i: F.when(i >= a, F.element_at("w", (a + F.pmod(i - a, p) + 1).cast("int"))).otherwise(x))
+    return docs.select("doc_id", words.alias("w")).select(
+        "doc_id", F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), moved).otherwise(F.col("w")).alias("words")
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.detect(planted_words(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_pii": op2_pii,
@@ -72,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_proximity": op8_benchmark_proximity,
     "op9_sentencepiece_nbest": op9_sentencepiece_nbest,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_toxicity": op12_toxicity,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _WORDS = (
