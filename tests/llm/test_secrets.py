@@ -70,9 +70,16 @@ def test_dropped_match_uses_up_its_text():
     assert fast_spans("token=tokens: token: abcdefgh")[0] == [(0, 12), (14, 29)]
 
 
-def test_query_equals_brute_force(spark):
-    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    got = QUERIES["op1_secret_scans"](spark, SF).collect()
+# sf0.001 holds no secret at all, so the query is compared on sf0.01, beside planted rows.
+SF_SECRETS = "/root/testdata/sf0.01"
+PLANTED = [
+    (10**9 + 1, "config: password = 'hunter2secret' and api_key: \"Zx9_ab.cd\""),
+    (10**9 + 2, "keys AKIA" + "B7" * 9 + " and AKIA12 and " + "deadbeef" * 4),
+    (10**9 + 3, "TOKEN=abc secret:abcdefgh Secret = " + "q" * 30),
+]
+
+
+def check(got, docs):
     assert sorted(r.doc_id for r in got) == sorted(docs)
     for r in got:
         found = slow_spans(docs[r.doc_id] or "")
@@ -81,7 +88,24 @@ def test_query_equals_brute_force(spark):
         base = ",".join(f"{secrets.RULES[k].kind}:{s}:{e}" for s, k, e in listed if k < 3)
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(map(len, found[:3]))
         assert r.spans == text and r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
-    assert any(r.n_assign for r in got)
+
+
+def test_query_equals_brute_force(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SECRETS}/documents.parquet").collect()}
+    got = QUERIES["op1_secret_scans"](spark, SF_SECRETS).collect()
+    check(got, docs)
+    assert sum(r.n_assign + r.n_access + r.n_hex for r in got) > 0
+
+
+def test_planted_secrets_equal_brute_force(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    planted = spark.createDataFrame([(i, t, "en", "planted", len(t)) for i, t in PLANTED], table.schema)
+    docs = {r.doc_id: r.text for r in table.collect()} | dict(PLANTED)
+    got = secrets.digests(table.unionByName(planted)).collect()
+    check(got, docs)
+    by = {r.doc_id: r for r in got}
+    assert by[10**9 + 1].n_assign == 2 and by[10**9 + 2].n_access == 1 and by[10**9 + 2].n_hex == 1
+    assert by[10**9 + 3].n_assign == 2
 
 
 def test_edge_cases(spark):
