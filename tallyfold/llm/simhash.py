@@ -224,22 +224,33 @@ def near_duplicates(
     copies counts once in the search.
     """
     found = settle(fingerprints(docs, doc_id, text, words))
+    return found.join(_component_of(found, bits), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _component_of(found: DataFrame, bits: int) -> DataFrame:
+    """``(fp, component_id)``: the smallest ``doc_id`` of each fingerprint's component (ids may be structs)."""
     reps = settle(found.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     roots = components(settle(near_links(reps.select("fp"), bits)))
     linked = roots.select(F.col("node").alias("fp"), "root").unionByName(
         roots.select(F.col("root").alias("fp"), "root").distinct()
     )
     smallest = linked.join(reps, "fp").groupBy("root").agg(F.min("rep").alias("component"))
-    of_fp = reps.join(linked.join(smallest, "root"), "fp", "left").select(
+    return reps.join(linked.join(smallest, "root"), "fp", "left").select(
         "fp", F.coalesce("component", "rep").alias("component_id")
     )
-    return found.join(of_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is its component's id: one document of each group (and its repeated rows)."""
-    found = near_duplicates(docs, doc_id, text)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_dropped"))
-    return join_small(docs, dropped, F.col(doc_id) == F.col("_dropped"), "left_anti")
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group of near duplicates: that of the smallest id, null ids last, then the first row written.
+
+    Every row has its own key, so repeated rows and rows of one id with
+    other texts are told apart: of a group of equal rows one stays, and an id
+    whose two texts fall in two groups can stay in each.
+    """
+    rows = settle(docs.withColumn("_row", F.monotonically_increasing_id()))
+    order = F.struct(F.col(doc_id).isNull().alias("null_id"), F.col(doc_id).alias("id"), F.col("_row").alias("row"))
+    found = settle(fingerprints(rows.select(order.alias("key"), F.col(text)), "key", text))
+    kept = found.join(_component_of(found, bits), "fp").where(F.col("doc_id") == F.col("component_id"))
+    return join_small(rows, kept.select(F.col("doc_id.row").alias("_kept")), F.col("_row") == F.col("_kept"), "left_semi").drop("_row")

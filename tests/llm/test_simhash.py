@@ -88,7 +88,15 @@ def test_edge_cases(spark):
     ], key=str)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 4, 7, 7]
+    # Each row has its own key: the null id goes with the group of 4, one of the repeated rows of 7 stays.
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [1, 4, 7]
+
+
+def test_keep_one_by_row(spark):
+    docs = spark.createDataFrame([(7, "q r s"), (7, "x y z"), (5, "x y z"), (None, "u v w"), (None, "u v w")],
+                                 "doc_id long, text string")
+    kept = sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == [(0, "u v w"), (5, "x y z"), (7, "q r s")]
 
 
 def test_empty_table(spark):
