@@ -3,8 +3,8 @@
 Labelled rows that may be learnt from are split by a hash of their id into a
 dictionary part and a calibration part. On the dictionary part Spark counts
 in how many documents of each class every word occurs; each dictionary is
-raw zstandard content: the words most documents share, then the words
-significantly more frequent in its own class. Trained on whole texts, both
+raw zstandard content: the words significantly more frequent in its own
+class, then the words most documents share. Trained on whole texts, both
 dictionaries would be made of what the classes share, and their difference
 would be noise. Every document is cut into windows of ``WINDOW_WORDS``
 words; each window is compressed with both dictionaries in Arrow batches,
@@ -29,11 +29,15 @@ from tallyfold.llm.common import map_batches, prepare, settle
 # Bytes of a dictionary: half shared words, half words of its class.
 DICT_BYTES = 16 << 10
 LEVEL = 3
-# A word belongs to a class's dictionary if its G^2 statistic exceeds this (p < 0.001 for one degree of freedom).
+# A word belongs to a class's dictionary if its G^2 statistic exceeds this (p < 0.001 for one degree of freedom)
+# and it occurs in at least this share of the class's documents; rarer fragments pass the test by chance.
 SIGNIFICANT = 10.83
+MIN_SHARE = 0.1
+# Bytes of the shared words at the end of each dictionary.
+SHARED_BYTES = 4 << 10
 # Words of one window, and the saving in bytes that marks a window.
-WINDOW_WORDS = 4
-MARKED = 2
+WINDOW_WORDS = 16
+MARKED = 3
 FEATURES = ("f_max", "f_mean", "f_marked", "f_count")
 # Labelled rows at most that fit the calibration.
 CALIBRATION_ROWS = 200_000
@@ -113,7 +117,7 @@ def _features_of(model: Model, rows: DataFrame) -> DataFrame:
 
 
 def _vocabulary(rows: DataFrame) -> tuple[list[str], dict[int, list[str]]]:
-    """Shared words (most documents first) and, per label, words significantly more frequent in it (G^2, by strength).
+    """Shared words (most documents first, no class word) and, per label, words significantly more frequent in it (G^2, by strength).
 
     Document frequencies are counted by Spark over all given rows, with a
     map-side part; only the top words within ``DICT_BYTES`` reach the driver.
@@ -127,7 +131,6 @@ def _vocabulary(rows: DataFrame) -> tuple[list[str], dict[int, list[str]]]:
     )
     total = n1 + n0
     out: dict[int, list[str]] = {}
-    shared = [r["word"] for r in counts.orderBy(F.desc(F.col("a") + F.col("c")), "word").limit(DICT_BYTES // 4).collect()]
     for label, (x, y, nx, ny) in {1: ("a", "c", n1, n0), 0: ("c", "a", n0, n1)}.items():
         if not nx or not ny:
             out[label] = []
@@ -137,8 +140,14 @@ def _vocabulary(rows: DataFrame) -> tuple[list[str], dict[int, list[str]]]:
                             (F.col(y), ny, F.col(x) + F.col(y)), (ny - F.col(y), ny, total - F.col(x) - F.col(y))):
             cells.append(F.when(o > 0, 2 * o * F.log(o * total / (row * col))).otherwise(0.0))
         g2 = sum(cells[1:], cells[0])
-        strong = counts.where((F.col(x) / nx > F.col(y) / ny) & (g2 > SIGNIFICANT)).orderBy(F.desc(g2), "word")
+        strong = counts.where(
+            (F.col(x) / nx > F.col(y) / ny) & (g2 > SIGNIFICANT) & (F.col(x) >= MIN_SHARE * nx)
+        ).orderBy(F.desc(g2), "word")
         out[label] = [r["word"] for r in strong.select("word").limit(DICT_BYTES // 4).collect()]
+    # Shared words are those most documents hold, leaving out the words of either class.
+    own = set(out[0]) | set(out[1])
+    top = counts.orderBy(F.desc(F.col("a") + F.col("c")), "word").limit(SHARED_BYTES + len(own))
+    shared = [w for w in (r["word"] for r in top.select("word").collect()) if w not in own]
     return shared, out
 
 
@@ -158,8 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: F.Column, doc_id: str = "do
 
     A row's label is the largest ``toxic`` given for its id (null labels are
     ignored); rows with null text count as empty. Each dictionary is raw
-    content: the words most documents share, then the words significantly
-    more frequent in its class, counted on the rows whose id hash is even.
+    content: the words significantly more frequent in its class, then the
+    words most documents share, counted on the rows whose id hash is even.
     The calibration is fitted on the others. With one class only, the score
     is a constant near that class.
     """
@@ -172,8 +181,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: F.Column, doc_id: str = "do
         .join(marks, "_id").select("_id", "text", "label", F.pmod(F.xxhash64("_id"), F.lit(1 << 30)).alias("h"))
     )
     shared, own = _vocabulary(rows.where(F.col("h") % 2 == 0))
-    base = _content(shared, DICT_BYTES // 2)
-    model = Model(*(base + b" " + _content(own[label], DICT_BYTES - len(base) - 1) for label in (1, 0)))
+    base = _content(shared, SHARED_BYTES)
+    # Class words go first: the shared words keep the same distance from the end, so a window without class
+    # words is compressed alike by both dictionaries.
+    # Both dictionaries have one size, since zstandard picks its parameters by it; NUL bytes pad the shorter class part.
+    parts = {label: _content(own[label], DICT_BYTES - len(base) - 1) for label in (1, 0)}
+    width = max(len(p) for p in parts.values())
+    model = Model(*(parts[label].ljust(width, b"\0") + b" " + base for label in (1, 0)))
     calib = rows.where(F.col("h") % 2 == 1).orderBy("h").limit(CALIBRATION_ROWS)
     feats = _features_of(model, calib.select(F.col("_id").alias("key"), "text")).join(
         calib.select(F.col("_id").alias("key"), "label"), "key"
