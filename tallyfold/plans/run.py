@@ -14,9 +14,9 @@ from tallyfold.operators import (
     sales_quality as SQ,
 )
 from tallyfold.plans import report as P
-from tallyfold.schemas import DETAILS, ERR_JSON
+from tallyfold.schemas import DETAILS, ERR_JSON, ERR_UNREADABLE
 from tallyfold.session import prepare, settle
-from tallyfold.sources import history as H, lines as L, manifest as M, sinks as K
+from tallyfold.sources import history as H, lines as L, manifest as M, sinks as K, tolerant as T
 
 MODES = ("parallel", "sequential")
 _PROBLEM = "input string, reason string, details string"
@@ -87,7 +87,9 @@ def discover(spark: SparkSession, inputs: list[str]) -> tuple[list[str], DataFra
     asked = spark.createDataFrame(asked, "asked string, input string, exists boolean")
     roots = [_literal(p) for p in _covering([q for q, there in full.values() if there])]
     if roots:
-        files = M.manifest(spark, roots)
+        # Names beginning with _ or . are listed too; Spark's own listing leaves them out.
+        literal = _covering([q for q, there in full.values() if there])
+        files = spark.createDataFrame(T.list_files(spark, literal), "path string, bytes long")
     else:
         files = spark.createDataFrame([], "path string, bytes long")
     listing = files.select(_plain_column(F.col("path")).alias("path"), "bytes")
@@ -121,9 +123,15 @@ def analyze(spark: SparkSession, roots: list[str], files: DataFrame) -> dict[str
     folder, which all metrics read; a second scan, with line numbers, yields
     the rejected lines.
     """
-    sales = L.number_lines(L.scan_lines(spark, roots, "*.csv"))
-    raw_log = L.scan_lines(spark, roots, "*.log")
-    docs = L.scan_documents(spark, roots, "*.json")
+    listed = [(r["path"], r["bytes"]) for r in files.select("path", "bytes").collect()]
+    scans = {kind: T.checked_lines(spark, [f for f in listed if f[0].endswith(f".{kind}")]) for kind in ("csv", "log", "json")}
+    sales = L.number_lines(scans["csv"][0])
+    raw_log = scans["log"][0]
+    docs = T.documents(scans["json"][0])
+    unreadable = settle(
+        scans["csv"][1].unionByName(scans["log"][1]).unionByName(scans["json"][1])
+        .select("path", F.concat(F.lit(ERR_UNREADABLE + ": "), "details").alias("error"))
+    )
 
     cube = settle(SM.sales_cube(SQ.check_sales(sales)))
     # Counting entries needs no line numbers.
@@ -133,11 +141,17 @@ def analyze(spark: SparkSession, roots: list[str], files: DataFrame) -> dict[str
 
     csv, json = settle(SM.sales_metrics(cube)), settle(JM.json_metrics(documents))
     log = settle(_with_empty_logs(LM.log_metrics(facts), files))
-    statuses = settle(
+    judged_files = (
         R.file_status(_with_empty(csv, files, "csv", 1), "csv")
         .unionByName(R.file_status(_with_empty(json, files, "json", 1), "json"))
         .unionByName(R.file_status(log, "log"))
     )
+    # A file that could not be read whole is failed, whatever its readable part says.
+    statuses = settle(
+        judged_files.join(unreadable.select("path", F.lit(True).alias("unreadable")), "path", "left").select(
+            "path", "kind", F.when(F.col("unreadable"), F.lit(R.FAILED)).otherwise(F.col("status")).alias("status")
+        )
+    )
     log_rejects = LQ.log_rejects(LQ.check_log(L.number_lines(raw_log)))
     line_errors = settle(
         SQ.sales_rejects(sales).unionByName(SQ.empty_files(files)).unionByName(log_rejects)
@@ -147,6 +161,7 @@ def analyze(spark: SparkSession, roots: list[str], files: DataFrame) -> dict[str
         line_errors.where("line IS NULL").select("path", "error")
         .unionByName(JQ.json_errors(judged))
         .unionByName(no_document)
+        .unionByName(unreadable)
     )
 
     messages = LM.facts_messages(facts)

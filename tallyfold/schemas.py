@@ -25,6 +25,7 @@ ERR_LOG_FORMAT = "Invalid log format"
 ERR_TIMESTAMP = "Invalid timestamp"
 ERR_JSON = "JSON decode error: malformed document"
 ERR_JSON_ROOT = "JSON root must be an object"
+ERR_UNREADABLE = "read_failed"
 
 # Discovery and run error reasons with their texts.
 DETAILS = {

@@ -15,7 +15,7 @@ partitions are byte ranges of the listed files:
   the file, and none of its lines are used; other files are not affected.
 
 Reading goes through ``pyarrow.fs``, which knows local, HDFS and object
-stores; what it cannot open becomes a failed row as well.
+stores; what it cannot open or name becomes a failed row as well.
 """
 
 from __future__ import annotations
@@ -67,10 +67,11 @@ def _open(path: str, listed: int):
     """The file, refused if its size is no longer the listed one."""
     from pyarrow import fs
 
-    # Hadoop writes local files as file:/x, which pyarrow reads as file:///x.
-    if path.startswith("file:/") and not path.startswith("file:///"):
-        path = "file:///" + path[len("file:/") :].lstrip("/")
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    # Hadoop names local files file:/x, unescaped; other stores by their URI.
+    if path.startswith("file:"):
+        filesystem, inner = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    else:
+        filesystem, inner = fs.FileSystem.from_uri(path)
     f = filesystem.open_input_file(inner)
     size = f.size()
     if size != listed:
@@ -149,7 +150,7 @@ class _Reader(DataSourceReader):
                     else:
                         rows.append((path, start, seq, line, None, None))
                     seq += 1
-        except (OSError, EOFError, zlib.error, gzip.BadGzipFile) as error:
+        except (OSError, EOFError, ValueError, zlib.error, gzip.BadGzipFile) as error:
             rows = [(path, start, 0, None, 0, f"{type(error).__name__}: {error}")]
         yield from rows
 
@@ -168,23 +169,29 @@ class TolerantText(DataSource):
         return _Reader([tuple(x) for x in json.loads(self.options["files"])], int(self.options.get("split", SPLIT_BYTES)))
 
 
-def scan(spark: SparkSession, paths: list[str], split: int = SPLIT_BYTES) -> tuple[DataFrame, list[tuple[str, int]]]:
-    """Raw rows of the tolerant scan over every file below ``paths`` (lines, ``value`` set, and accounting rows), and the listing."""
+def scan_files(spark: SparkSession, files: list[tuple[str, int]], split: int = SPLIT_BYTES) -> DataFrame:
+    """Raw rows of the tolerant scan over the listed ``(path, bytes)``: lines (``value`` set) and accounting rows."""
     spark.dataSource.register(TolerantText)
+    return spark.read.format("tallyfold_text").option("files", json.dumps(files)).option("split", str(split)).load()
+
+
+def scan(spark: SparkSession, paths: list[str], split: int = SPLIT_BYTES) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """Raw rows over every file below ``paths``, and the listing."""
     files = list_files(spark, paths)
-    rows = spark.read.format("tallyfold_text").option("files", json.dumps(files)).option("split", str(split)).load()
-    return rows, files
+    return scan_files(spark, files, split), files
 
 
-def tolerant_lines(spark: SparkSession, paths: list[str], split: int = SPLIT_BYTES) -> tuple[DataFrame, DataFrame]:
-    """``(lines, failures)``: ``path, block, seq, value`` of readable files, and ``path, reason, details`` of the others.
+def checked_lines(
+    spark: SparkSession, files: list[tuple[str, int]], split: int = SPLIT_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """``(lines, failures)`` of the listed files: ``path, block, seq, value`` and ``path, reason, details``.
 
     A file fails when a range raised an error or when the bytes read over
     its ranges differ from its listed length (it shrank, grew or vanished).
     Lines of a failed file are left out; an empty file has no lines and no
     failure.
     """
-    raw, files = scan(spark, paths, split)
+    raw = scan_files(spark, files, split)
     listed = spark.createDataFrame(files or [], "path string, bytes long")
     account = raw.where(F.col("value").isNull()).groupBy("path").agg(
         F.sum("read_bytes").alias("read"), F.max("error").alias("error")
@@ -201,3 +208,14 @@ def tolerant_lines(spark: SparkSession, paths: list[str], split: int = SPLIT_BYT
         "path", "block", "seq", "value"
     )
     return lines, failed
+
+
+def tolerant_lines(spark: SparkSession, paths: list[str], split: int = SPLIT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """:func:`checked_lines` of every file below ``paths``, names beginning with ``_`` or ``.`` included."""
+    return checked_lines(spark, list_files(spark, paths), split)
+
+
+def documents(lines: DataFrame) -> DataFrame:
+    """``path, content``: the lines of each file joined by line feeds, in file order (a file is one row)."""
+    ordered = F.array_sort(F.collect_list(F.struct("block", "seq", "value")))
+    return lines.groupBy("path").agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("content"))

@@ -146,3 +146,27 @@ def test_wholly_failed_and_clean_files(spark, tmp_path):
     result = run(spark, str(folder), str(tmp_path / "out"))
     assert result.ok and result.summary["ok"] == 1 and result.tables["errors"].count() == 0
     assert [r["message"] for r in result.tables["omitted_files"].collect()] == ["line 2: Row must have 6 columns"]
+
+
+def test_hidden_and_unreadable_files(spark, tmp_path, monkeypatch):
+    """A file named _b.csv is read; a file that changed after listing fails with a row, the others are processed."""
+    from tallyfold.plans import run as R
+    from tallyfold.sources import tolerant
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(SALES_HEADER + "\n2024-01-02,Pen,Office,10.0,3,50")
+    (folder / "_b.csv").write_text(SALES_HEADER + "\n2024-01-02,Ink,Office,1.0,1,0")
+    (folder / "c.log").write_text(LOG)
+    listing = tolerant.list_files
+
+    def changed(spark, paths):
+        return [(p, n + 1 if p.endswith("c.log") else n) for p, n in listing(spark, paths)]
+
+    monkeypatch.setattr(R.T, "list_files", changed)
+    result = run(spark, str(folder), str(tmp_path / "out"))
+    status = {r["path"].rsplit("/", 1)[-1]: r["status"] for r in result.tables["file_status"].collect()}
+    assert status == {"a.csv": "ok", "_b.csv": "ok", "c.log": "failed"}
+    errors = [(r["path"].rsplit("/", 1)[-1], r["error"]) for r in result.tables["file_errors"].collect()]
+    assert [p for p, _ in errors] == ["c.log"] and errors[0][1].startswith("read_failed: ")
+    assert result.tables["csv_totals"].first()["unique_products"] == 2
