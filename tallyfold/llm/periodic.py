@@ -5,7 +5,8 @@ A run of smallest period q and length at least ``4q`` holds, at scale
 occurs again q words later, with ``s <= q < 2s``. So at each scale every
 aligned block is compared with the 2s - 1 words that follow it one scale
 on: the sum of squared differences ``sum a^2 + sum b^2 - 2 sum a b`` of word
-numbers is zero exactly where the block recurs. The cross term of all blocks
+numbers is zero exactly where the block recurs. Blocks whose first words
+recur at no shift cannot recur and are left out of the transform. The cross term of all blocks
 of all documents of a batch is one batched number-theoretic transform over
 the prime 998244353; the squares come from prefix sums. A zero (modulo the
 prime) is checked word by word, so a coincidence of the modulus cannot make
@@ -20,6 +21,7 @@ memory linear in its words.
 from __future__ import annotations
 
 import bisect
+import functools
 import hashlib
 from collections.abc import Iterator
 from fractions import Fraction
@@ -33,9 +35,12 @@ from tallyfold.llm.common import map_batches
 # The prime of the transform, 119 * 2^23 + 1, and a generator of its group.
 PRIME = 998244353
 ROOT = 3
+_INVERSE = 1.0 / PRIME
 # Fixed values of the contract: a run is at least MIN_LENGTH words and MIN_EXPONENT periods long.
 MIN_LENGTH = 6
 MIN_EXPONENT = 4
+# Words at the head of a block that must recur at a shift before the transform is asked about it.
+PREFIX = 4
 # Cells of one batched transform (blocks x width); larger scales are cut into several.
 CELLS = 1 << 20
 
@@ -59,13 +64,27 @@ def _roots(length: int, invert: bool) -> np.ndarray:
         step, filled = w, 1
         while filled < half:
             take = min(filled, half - filled)
-            out[filled : filled + take] = out[:take] * step % PRIME
+            out[filled : filled + take] = out[:take] * step % PRIME  # once per width, cached
             filled += take
             step = step * step % PRIME
         _twiddles[key] = out
     return _twiddles[key]
 
 
+def mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a * b mod PRIME`` for entries below the prime, exactly.
+
+    The quotient is estimated in floating point, off by at most one, and the
+    remainder is computed in 64-bit integers and corrected; this avoids an
+    integer division per entry.
+    """
+    q = np.floor(a.astype(np.float64) * b * _INVERSE).astype(np.int64)
+    r = a * b - q * PRIME
+    r += PRIME * (r < 0)
+    r -= PRIME * (r >= PRIME)
+    return r
+
+
 def ntt(a: np.ndarray, invert: bool = False) -> np.ndarray:
     """The transform of each row of ``a`` (int64 below the prime; width a power of two), iterative radix 2."""
     rows, n = a.shape
@@ -82,12 +101,16 @@ def ntt(a: np.ndarray, invert: bool = False) -> np.ndarray:
         w = _roots(length, invert)
         a = a.reshape(rows, n // length, length)
         u = a[:, :, :half]
-        v = a[:, :, half:] * w % PRIME
-        a = np.concatenate(((u + v) % PRIME, (u - v) % PRIME), axis=2)
+        v = mulmod(a[:, :, half:], w)
+        low = u + v
+        low -= PRIME * (low >= PRIME)
+        high = u - v
+        high += PRIME * (high < 0)
+        a = np.concatenate((low, high), axis=2)
         length *= 2
     a = a.reshape(rows, n)
     if invert:
-        a = a * pow(n, PRIME - 2, PRIME) % PRIME
+        a = mulmod(a, np.int64(pow(n, PRIME - 2, PRIME)))
     return a
 
 
@@ -116,6 +139,7 @@ def _agree(w: np.ndarray, i: int, j: int, step: int) -> int:
         chunk *= 2
 
 
+@functools.lru_cache(maxsize=1 << 16)
 def _divisors(n: int) -> list[int]:
     small = [d for d in range(1, int(n**0.5) + 1) if n % d == 0]
     return small + [n // d for d in reversed(small) if d * d != n]
@@ -153,6 +177,16 @@ def _scale(words, flat, offsets, squares, lengths, d_rows, b_rows, s, found, run
     width = 2 * s
     base = offsets[d_rows] + b_rows
     ends = offsets[d_rows] + lengths[d_rows]
+    # A block can only recur where its first words do: blocks without such a shift are left out of the transform.
+    j = np.arange(s)
+    maybe = np.ones((len(base), s), dtype=bool)
+    for i in range(min(s, PREFIX)):
+        at = base[:, None] + s + j[None, :] + i
+        maybe &= (at < ends[:, None]) & (flat[np.minimum(at, len(flat) - 1)] == flat[base + i][:, None])
+    keep = maybe.any(axis=1)
+    if not keep.any():
+        return
+    d_rows, b_rows, base, ends = d_rows[keep], b_rows[keep], base[keep], ends[keep]
     k = np.arange(width)
     at = base[:, None] + k[None, :]
     a = np.where(k[None, :] < s, flat[np.minimum(at, len(flat) - 1)], 0)
@@ -161,10 +195,9 @@ def _scale(words, flat, offsets, squares, lengths, d_rows, b_rows, s, found, run
     a_rev[:, :s] = a[:, s - 1 :: -1]
     x_at = base[:, None] + s + k[None, :]
     x = np.where((x_at < ends[:, None]) & (k[None, :] < width - 1), flat[np.minimum(x_at, len(flat) - 1)], 0)
-    conv = ntt(ntt(a_rev) * ntt(x) % PRIME, invert=True)
+    conv = ntt(mulmod(ntt(a_rev), ntt(x)), invert=True)
     cross = conv[:, s - 1 : 2 * s - 1]  # shift delta = s + j
     a2 = (squares[base + s] - squares[base]) % PRIME
-    j = np.arange(s)
     lo = np.minimum(base[:, None] + s + j[None, :], ends[:, None])
     hi = np.minimum(base[:, None] + 2 * s + j[None, :], ends[:, None])
     b2 = (squares[hi] - squares[lo]) % PRIME
