@@ -125,6 +125,10 @@ def build_index(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
     return docs.sparkSession.read.schema(schema).parquet(folder)
 
 
+# The name of items whose id is null; no id cast to text is a single NUL character.
+NULL_ITEM = "\x00"
+
+
 def windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """``(item_id, words)``: each run of ``size`` words of an item, once; a shorter item is one window."""
     words = f"array_remove(split(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
@@ -276,8 +280,8 @@ def matches(index: DataFrame, wanted: DataFrame, size: int = WINDOW, slop: int =
 def _united(pdf: pd.DataFrame) -> pd.DataFrame:
     """The portions' matches of one document as one row."""
     spans = _merged([s for a, b in zip(pdf["starts"], pdf["ends"], strict=True) for s in zip(a.tolist(), b.tolist(), strict=True)])
-    items = sorted({x for xs in pdf["items"] for x in xs})
-    near = sorted({x for xs in pdf["near_items"] for x in xs})
+    items = sorted({x for xs in pdf["items"] for x in xs} - {NULL_ITEM})
+    near = sorted({x for xs in pdf["near_items"] for x in xs} - {NULL_ITEM})
     return pd.DataFrame({
         "block": [pdf["block"].iloc[0]], "doc": [pdf["doc"].iloc[0]], "n_hit": [sum(e - s for s, e in spans)],
         "n_items": [len(items)], "items": [",".join(items)], "n_near_items": [len(near)],
@@ -294,14 +298,19 @@ def contamination(
 
     n_hit counts the words inside any exact occurrence of a benchmark window;
     the near items are those matched by proximity, exact matches included.
-    Null texts have no words, items without words no window, and a null item id
-    is left out of the item list as it has no name. Repeated rows each give a
+    Null texts have no words, items without words no window; the windows of an
+    item with null id count in n_hit and contaminated, but the item is left out
+    of the item lists and counts, as it has no name. Repeated rows each give a
     row; other columns are ignored; empty tables give no rows or no hits.
     """
     if size + 2 * slop >= GAP:
         raise ValueError(f"a window and its slop must stay below {GAP} words")
     index = build_index(docs, folder or new_folder(docs.sparkSession, "postings"), doc_id, text)
-    wanted = windows(items.where(F.col(item_id).isNotNull()), item_id, item_text, size)
+    # An item without id still has windows; it is named by a sentinel that the item lists leave out.
+    named = items.select(
+        F.coalesce(F.col(item_id).cast("string"), F.lit(NULL_ITEM)).alias("_item"), F.col(item_text).alias("_text")
+    )
+    wanted = windows(named, "_item", "_text", size)
     hits = (
         matches(index, wanted, size, slop).groupBy("block", "doc")
         .applyInPandas(_united, "block string, doc int, n_hit long, n_items long, items string, n_near_items long, near_items string")

@@ -119,7 +119,7 @@ _WORDS = (
 SQL: dict[str, str] = {
     # Windows as texts, met by equality: the plain reading of what the index finds.
     "op8_benchmark_decontamination": f"""
-WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
 want AS (
   SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS win, least(10, len(w)) AS n
   FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM item WHERE len(w) > 0)),
@@ -130,7 +130,8 @@ place AS (
 hit AS (SELECT r, i, p.n, item FROM place p JOIN want q ON p.win = q.win AND p.n = q.n),
 covered AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hit) GROUP BY r),
 named AS (
-  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
