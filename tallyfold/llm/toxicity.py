@@ -25,6 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tallyfold.llm.common import map_batches, prepare, settle
+from tallyfold.session import join_small
 
 # Bytes of a dictionary: half shared words, half words of its class.
 DICT_BYTES = 16 << 10
@@ -105,15 +106,20 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1
 
 
 def _features_of(model: Model, rows: DataFrame) -> DataFrame:
-    """``(key, f_max, f_mean)`` for ``(key, text)`` rows, in Arrow batches."""
+    """``(key, label, h, f_*)`` for ``(key, text, label, h)`` rows, in Arrow batches; the text is not kept."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             f = model.features(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_pydict({"key": batch.column(0)} | {k: f[:, i] for i, k in enumerate(FEATURES)})
+            yield pa.RecordBatch.from_pydict(
+                {"key": batch.column(0), "label": batch.column(2), "h": batch.column(3)}
+                | {k: f[:, i] for i, k in enumerate(FEATURES)}
+            )
 
     key_type = dict(rows.dtypes)[rows.columns[0]]
-    return map_batches(rows, work, f"key {key_type}, " + ", ".join(f"{k} double" for k in FEATURES))
+    return map_batches(
+        rows, work, f"key {key_type}, label int, h long, " + ", ".join(f"{k} double" for k in FEATURES)
+    )
 
 
 def _vocabulary(rows: DataFrame) -> tuple[list[str], dict[int, list[str]]]:
@@ -126,9 +132,10 @@ def _vocabulary(rows: DataFrame) -> tuple[list[str], dict[int, list[str]]]:
         F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[^\x20\x09-\x0D]+"), 0))).alias("word"))
     docs = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = docs.get(1, 0), docs.get(0, 0)
-    counts = words.groupBy("word").agg(
+    # Counted once and settled: the selections below read the counts three times.
+    counts = settle(words.groupBy("word").agg(
         F.sum((F.col("label") == 1).cast("long")).alias("a"), F.sum((F.col("label") == 0).cast("long")).alias("c")
-    )
+    ))
     total = n1 + n0
     out: dict[int, list[str]] = {}
     for label, (x, y, nx, ny) in {1: ("a", "c", n1, n0), 0: ("c", "a", n0, n1)}.items():
@@ -175,11 +182,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: F.Column, doc_id: str = "do
     prepare(docs.sparkSession)
     marks = labels.where(F.col("toxic").isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(
         F.max(F.col("toxic").cast("int")).alias("label")
-    )
-    rows = settle(
-        docs.where(learn).select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
-        .join(marks, "_id").select("_id", "text", "label", F.pmod(F.xxhash64("_id"), F.lit(1 << 30)).alias("h"))
-    )
+    ).select("_id", "label", F.pmod(F.xxhash64("_id"), F.lit(1 << 30)).alias("h"))
+    # Texts are not shuffled or written: the labels are measured and broadcast where small.
+    rows = join_small(docs.where(learn).select(F.col(doc_id).alias("_id"), F.col(text).alias("text")), marks, "_id", "inner")
     shared, own = _vocabulary(rows.where(F.col("h") % 2 == 0))
     base = _content(shared, SHARED_BYTES)
     # Class words go first: the shared words keep the same distance from the end, so a window without class
@@ -188,10 +193,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: F.Column, doc_id: str = "do
     parts = {label: _content(own[label], DICT_BYTES - len(base) - 1) for label in (1, 0)}
     width = max(len(p) for p in parts.values())
     model = Model(*(parts[label].ljust(width, b"\0") + b" " + base for label in (1, 0)))
-    calib = rows.where(F.col("h") % 2 == 1).orderBy("h").limit(CALIBRATION_ROWS)
-    feats = _features_of(model, calib.select(F.col("_id").alias("key"), "text")).join(
-        calib.select(F.col("_id").alias("key"), "label"), "key"
-    ).collect()
+    # Features of every calibration row where it lies; only the small feature rows are sampled by hash.
+    calib = rows.where(F.col("h") % 2 == 1).select(F.col("_id").alias("key"), "text", "label", "h")
+    feats = _features_of(model, calib).orderBy("h", "key").limit(CALIBRATION_ROWS).collect()
     if feats and len({r["label"] for r in feats}) == 2:
         x = np.array([[r[f] for f in FEATURES] for r in feats])
         y = np.array([r["label"] for r in feats], dtype=np.float64)
