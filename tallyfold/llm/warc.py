@@ -161,11 +161,13 @@ def read(selected: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     kind = dict(selected.dtypes)["page_id"]
     schema = f"page_id {kind}, url string, record_type string, refers_to {kind}, payload_digest string, payload_bytes long, payload binary"
     names = [x.split()[0] for x in schema.split(", ")]
-    ordered = (
-        selected.select("page_id", "refers_to", "file", "offset", "length")
-        .withColumn("stretch", (F.col("offset") / STRETCH).cast("long"))
-        .repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    keyed = selected.select("page_id", "refers_to", "file", "offset", "length").withColumn(
+        "stretch", (F.col("offset") / STRETCH).cast("long")
     )
+    # As many partitions as stretches: without a number, adaptive execution would join them by the size of the
+    # index rows, and one task would read all archives.
+    stretches = keyed.select("file", "stretch").distinct().count()
+    ordered = keyed.repartition(max(1, stretches), "file", "stretch").sortWithinPartitions("file", "offset")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _place(folder)
