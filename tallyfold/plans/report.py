@@ -268,7 +268,7 @@ def report_lines(
     out = out.unionByName(_lines(summary, 5, none, 0, [none, *_title("ERRORS AND WARNINGS")]))
     any_error = errors.agg(F.count(F.lit(1)).alias("n"))
     out = out.unionByName(_lines(any_error.where("n = 0"), 5, none, 1, [F.lit("No global errors.")]))
-    line = F.regexp_extract("error", r"^partial: line (\d+): ", 1).try_cast("int")
+    line = F.regexp_extract("error", r"^partial: line (\d+): ", 1).try_cast("bigint")
     out = out.unionByName(
         errors.select(
             F.lit(5).alias("section"), F.lit(2).alias("part"), "path", F.coalesce(line, F.lit(0)).alias("rank"),
