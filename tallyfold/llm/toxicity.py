@@ -2,9 +2,9 @@
 
 Labelled rows that may be learnt from are split by a hash of their id into a
 dictionary part and a calibration part. On the dictionary part Spark counts
-in how many documents of each class every word occurs; each dictionary is
-raw zstandard content: the words significantly more frequent in its own
-class, then the words most documents share. Trained on whole texts, both
+in how many documents of each class every word and every beginning of a word
+occurs; each dictionary is raw zstandard content: the pieces significantly
+more frequent in its own class, then the words most documents share. Trained on whole texts, both
 dictionaries would be made of what the classes share, and their difference
 would be noise. Every document is cut into windows of ``WINDOW_WORDS``
 words; each window is compressed with both dictionaries in Arrow batches,
@@ -17,23 +17,30 @@ and the contract's threshold 0.3 predicts. Documents are never shuffled.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyfold.llm.common import map_batches, prepare, settle
 from tallyfold.session import join_small
 
-# Bytes of a dictionary: half shared words, half words of its class.
+# Bytes of a dictionary at most.
 DICT_BYTES = 16 << 10
-LEVEL = 3
-# A word belongs to a class's dictionary if its G^2 statistic exceeds this (p < 0.001 for one degree of freedom)
-# and it occurs in at least this share of the class's documents; rarer fragments pass the test by chance.
-SIGNIFICANT = 10.83
-MIN_SHARE = 0.1
+# Every place of a dictionary is searched (the fast strategies of low levels index only some, and so miss words).
+STRATEGY = zstandard.STRATEGY_LAZY2
+MIN_MATCH = 4
+# Words count with their beginnings of these lengths, so that a stem counts whatever its endings.
+STEMS = (4, 5, 6, 7)
+# A piece belongs to a class's dictionary if it is at least ``LIFT`` times as frequent in its class as in the other, and
+# its G^2 is beyond what any of so many pieces reaches by chance with ``CHANCE``. Only pieces are tested that are in at
+# least ``MIN_SPREAD`` of 64 groups of documents, by the smallest hash of three words in a row: near copies mostly fall
+# into one group, so the words of one text that was copied often are no evidence.
+MIN_SPREAD = 8
+LIFT = 2.0
+CHANCE = 0.05
 # Bytes of the shared words at the end of each dictionary.
 SHARED_BYTES = 4 << 10
 # Words of one window, and the saving in bytes that marks a window.
@@ -45,6 +52,7 @@ CALIBRATION_ROWS = 200_000
 # Fixed value of the contract: a score of at least this is predicted toxic.
 THRESHOLD = 0.3
 
+_BITS = [1 << k if k < 63 else -(1 << 63) for k in range(64)]
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -54,6 +62,16 @@ def windows(text: str | None) -> list[bytes]:
     return [" ".join(words[i : i + WINDOW_WORDS]).encode() for i in range(0, len(words), WINDOW_WORDS)]
 
 
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    params = zstandard.ZstdCompressionParameters(
+        strategy=STRATEGY, min_match=MIN_MATCH, window_log=16, hash_log=15, chain_log=15, search_log=6, target_length=32,
+        write_checksum=False, write_content_size=False, write_dict_id=False,
+    )
+    return zstandard.ZstdCompressor(
+        compression_params=params, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    )
+
+
 class Model:
     """Two dictionaries and a logistic calibration of the features."""
 
@@ -66,16 +84,7 @@ class Model:
 
         A text without windows has all four zero.
         """
-        tox = zstandard.ZstdCompressor(
-            level=LEVEL, dict_data=zstandard.ZstdCompressionDict(self.toxic, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
-            write_checksum=False,
-            write_content_size=False, write_dict_id=False,
-        )
-        ordi = zstandard.ZstdCompressor(
-            level=LEVEL, dict_data=zstandard.ZstdCompressionDict(self.ordinary, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
-            write_checksum=False,
-            write_content_size=False, write_dict_id=False,
-        )
+        tox, ordi = _compressor(self.toxic), _compressor(self.ordinary)
         out = np.zeros((len(texts), len(FEATURES)))
         for i, text in enumerate(texts):
             parts = windows(text)
@@ -122,21 +131,37 @@ def _features_of(model: Model, rows: DataFrame) -> DataFrame:
     )
 
 
+def _beginnings(words: str, length: int) -> Column:
+    return F.transform(F.filter(words, lambda x: F.length(x) > length), lambda x: F.substring(x, 1, length))
+
+
 def _vocabulary(rows: DataFrame) -> tuple[list[str], dict[int, list[str]]]:
-    """Shared words (most documents first, no class word) and, per label, words significantly more frequent in it (G^2, by strength).
+    """Shared words (most documents first, none of a class) and, per label, pieces significantly more frequent in it (G^2, by strength).
 
-    Document frequencies are counted by Spark over all given rows, with a
-    map-side part; only the top words within ``DICT_BYTES`` reach the driver.
+    A piece is a word and the space after it, or a longer word's beginning. Document frequencies are counted
+    by Spark over all given rows, with a map-side part; only the top pieces
+    within ``DICT_BYTES`` reach the driver.
     """
-    words = rows.select("label", F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[^\x20\x09-\x0D]+"), 0))).alias("word"))
+    words = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    triples = F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2)))
+    group = F.pmod(F.coalesce(F.array_min(triples), F.lit(0)), F.lit(64))
+    # The group is computed before the pieces are, once for a document.
+    held = rows.select("label", words.alias("w")).select(
+        "label", F.array_distinct("w").alias("w"), F.element_at(F.lit(_BITS), (group + 1).cast("int")).alias("g")
+    ).select("label", "g", F.explode(F.array_distinct(F.concat(
+        F.transform("w", lambda x: F.concat(x, F.lit(" "))), *(_beginnings("w", n) for n in STEMS)))).alias("piece"))
     docs = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = docs.get(1, 0), docs.get(0, 0)
-    # Counted once and settled: the selections below read the counts three times.
-    counts = settle(words.groupBy("word").agg(
-        F.sum((F.col("label") == 1).cast("long")).alias("a"), F.sum((F.col("label") == 0).cast("long")).alias("c")
+    # Counted once and settled: the selections below read the counts four times.
+    counts = settle(held.groupBy("piece").agg(
+        F.sum((F.col("label") == 1).cast("long")).alias("a"), F.sum((F.col("label") == 0).cast("long")).alias("c"),
+        F.bit_count(F.bit_or(F.when(F.col("label") == 1, F.col("g")).otherwise(0))).alias("a_spread"),
+        F.bit_count(F.bit_or(F.when(F.col("label") == 0, F.col("g")).otherwise(0))).alias("c_spread"),
     ))
     total = n1 + n0
+    tested = counts.where(F.greatest("a_spread", "c_spread") >= MIN_SPREAD)
+    # The tail of G^2 beyond t is below exp(-t / 2).
+    least = 2 * np.log(max(1, tested.count()) / CHANCE)
     out: dict[int, list[str]] = {}
     for label, (x, y, nx, ny) in {1: ("a", "c", n1, n0), 0: ("c", "a", n0, n1)}.items():
         if not nx or not ny:
@@ -147,25 +172,29 @@ def _vocabulary(rows: DataFrame) -> tuple[list[str], dict[int, list[str]]]:
                             (F.col(y), ny, F.col(x) + F.col(y)), (ny - F.col(y), ny, total - F.col(x) - F.col(y))):
             cells.append(F.when(o > 0, 2 * o * F.log(o * total / (row * col))).otherwise(0.0))
         g2 = sum(cells[1:], cells[0])
-        strong = counts.where(
-            (F.col(x) / nx > F.col(y) / ny) & (g2 > SIGNIFICANT) & (F.col(x) >= MIN_SHARE * nx)
-        ).orderBy(F.desc(g2), "word")
-        out[label] = [r["word"] for r in strong.select("word").limit(DICT_BYTES // 4).collect()]
-    # Shared words are those most documents hold, leaving out the words of either class.
+        strong = tested.where((F.col(f"{x}_spread") >= MIN_SPREAD) & (F.col(x) / nx >= LIFT * F.col(y) / ny) & (g2 > least)).orderBy(
+            F.desc(g2), F.desc(F.length("piece")), "piece"
+        )
+        out[label] = [r["piece"] for r in strong.select("piece").limit(DICT_BYTES // 2).collect()]
+    # Shared words are those most documents hold, leaving out those that a piece of either class begins.
     own = set(out[0]) | set(out[1])
-    top = counts.orderBy(F.desc(F.col("a") + F.col("c")), "word").limit(SHARED_BYTES + len(own))
-    shared = [w for w in (r["word"] for r in top.select("word").collect()) if w not in own]
+    top = counts.where(F.col("piece").endswith(" ")).orderBy(F.desc(F.col("a") + F.col("c")), "piece").limit(SHARED_BYTES + len(own))
+    shared = [w for w in (r["piece"] for r in top.select("piece").collect()) if own.isdisjoint([w, *(w[:n] for n in STEMS)])]
     return shared, out
 
 
-def _content(words: list[str], limit: int) -> bytes:
-    out, used = [], 0
-    for w in words:
-        b = w.encode()
+def _content(pieces: list[str], limit: int) -> bytes:
+    """The first pieces that fit, each after a space; one that begins an earlier piece is there already."""
+    out, used, begun = [], 0, set()
+    for w in pieces:
+        if w in begun:
+            continue
+        b = w.strip(" ").encode()
         if used + len(b) + 1 > limit:
             break
         out.append(b)
         used += len(b) + 1
+        begun.update(w[:n] for n in STEMS)
     return b" ".join(out)
 
 
@@ -174,8 +203,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: F.Column, doc_id: str = "do
 
     A row's label is the largest ``toxic`` given for its id (null labels are
     ignored); rows with null text count as empty. Each dictionary is raw
-    content: the words significantly more frequent in its class, then the
-    words most documents share, counted on the rows whose id hash is even.
+    content: the words and word beginnings significantly more frequent in its
+    class, then the words most documents share, counted on the rows whose id hash is even.
     The calibration is fitted on the others. With one class only, the score
     is a constant near that class.
     """

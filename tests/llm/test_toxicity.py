@@ -40,3 +40,29 @@ def test_edge_cases(spark):
     empty = docs.where("false")
     model = toxicity.train(empty, labels.where("false"), empty["doc_id"].isNotNull())
     assert toxicity.score(docs, model).count() == 7
+
+
+def test_stems_are_learnt_and_copied_texts_are_not(spark):
+    """Toxic words with ever different endings are found; the words of one copied toxic text are no evidence."""
+    rng = np.random.default_rng(4)
+    plain = [f"{a}{b}" for a in ("mar", "tol", "ben", "sil") for b in ("ando", "ire", "une", "asta", "olo")]
+    ends = [f"{a}{b}" for a in "abcdefghik" for b in "lmnoprstuv"]
+
+    def text(more):
+        return " ".join(rng.permutation([*rng.choice(plain, 30), *more]))
+
+    copied = text([f"rarity{k}" for k in range(12)])
+    rows = []
+    for k in range(1200):
+        toxic = k % 6 == 0
+        words = ["grolk" + e for e in rng.choice(ends, 3)] if toxic else ["zelt" + e for e in rng.choice(ends, 3)] * (k % 6 < 3)
+        rows.append((k, copied + f" x{k}" if k % 30 == 0 else text(words), int(toxic)))
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    _, own = toxicity._vocabulary(docs.join(labels.withColumnRenamed("toxic", "label"), "doc_id").where("doc_id % 4 != 2"))
+    assert "grolk" in own[1] and not any(w.startswith("rari") for w in own[1])
+    model = toxicity.train(docs, labels, docs["doc_id"] % 4 != 2)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    held = [(got[k], y) for k, _, y in rows if k % 4 == 2 and k % 30]
+    assert sum(p for p, y in held if y) >= 0.9 * sum(y for _, y in held)
+    assert sum(p for p, y in held if not y) <= 0.05 * sum(not y for _, y in held)
