@@ -23,11 +23,14 @@ from tallyfold.llm.common import map_batches
 N_BEST = 3
 # Below the least score of a piece, for a character that is no piece and is spelled in bytes.
 UNKNOWN_PENALTY = 10.0
-# Chunks whose segmentations a worker keeps, about 350 bytes each.
-CACHE = 1_000_000
+# Bytes of chunks and segmentations that a worker keeps, in two generations; an entry has so many besides its text and ids.
+CACHE_BYTES = 64 << 20
+ENTRY_BYTES = 320
 # Longer chunks are searched one by one; shorter ones together, so many characters at once.
 LONG = 64
 TOGETHER = 50_000
+# Texts are split together up to so many characters, as their new chunks are all held at once.
+PORTION = 2_000_000
 
 
 class Vocabulary:
@@ -265,19 +268,32 @@ class Trie:
 
 
 class Encoder(dict):
-    """Chunk to ``(ids as bytes, score, loss of the second best)``, computed when first asked for."""
+    """Chunk to ``(ids as bytes, score, loss of the second best)``, computed when first asked for.
+
+    Entries grow old together: when half of ``CACHE_BYTES`` is used, the younger
+    half becomes the older one, from which those asked for again come back.
+    """
 
     def __init__(self, vocabulary: Vocabulary, n: int) -> None:
         super().__init__()
         self.vocabulary, self.n, self.trie = vocabulary, n, Trie(vocabulary)
+        self.older: dict[str, tuple[bytes, float, float]] = {}
+        self.weight = 0
 
     def split(self, texts: list[str]) -> list[list[str]]:
         """The chunks of texts; those not seen before are searched together."""
         found = [self.vocabulary.chunks.findall(" " + t) if t else [] for t in texts]
-        new = {c for chunks in found for c in chunks if c not in self}
-        if len(self) + len(new) > CACHE:
+        if self.weight > CACHE_BYTES // 2:
+            self.older = dict(self) if self.weight <= CACHE_BYTES else {}
             self.clear()
-            new = {c for chunks in found for c in chunks}
+            self.weight = 0
+        new = set()
+        for c in {c for chunks in found for c in chunks if c not in self}:
+            entry = self.older.pop(c, None)
+            if entry is None:
+                new.add(c)
+            else:
+                self._keep(c, entry)
         portion, size = [], 0
         for c in sorted(new):
             if len(c) > LONG:
@@ -294,11 +310,16 @@ class Encoder(dict):
     def _fill(self, chunks: list[str]) -> None:
         for c, entry in zip(chunks, self.trie.search(chunks), strict=True):
             if entry is not None:
-                self[c] = entry
+                self._keep(c, entry)
+
+    def _keep(self, chunk: str, entry: tuple[bytes, float, float]) -> None:
+        self[chunk] = entry
+        self.weight += ENTRY_BYTES + 4 * len(chunk) + len(entry[0])
 
     def __missing__(self, chunk: str):
         ids, score, loss = self.vocabulary.viterbi(chunk)
-        entry = self[chunk] = np.array(ids, "<i4").tobytes(), score, loss
+        entry = np.array(ids, "<i4").tobytes(), score, loss
+        self._keep(chunk, entry)
         return entry
 
     def alternatives(self, chunk: str) -> list[tuple[float, bytes]]:
@@ -312,7 +333,13 @@ class Encoder(dict):
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
-        return [self._joined(chunks) for chunks in self.split(texts)]
+        out, low, size = [], 0, 0
+        for high, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= PORTION or high == len(texts):
+                out += [self._joined(chunks) for chunks in self.split(texts[low:high])]
+                low, size = high, 0
+        return out
 
     def _joined(self, chunks: list[str]) -> list[tuple[float, bytes]]:
         if not chunks:

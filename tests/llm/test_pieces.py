@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import sys
 
 import numpy as np
 import pytest
@@ -113,3 +114,23 @@ def test_edge_cases(spark):
     assert lists[1] is None and lists[2][0].ids == [] and len(lists[4]) == 2
     for f in (pieces.digests, pieces.best, pieces.encode):
         assert f(d.limit(0), TOKENIZER).count() == 0
+
+
+def test_a_worker_keeps_a_bounded_size_of_chunks():
+    """Of 400,000 different chunks only so many stay that they fit the limit, tables of the dictionaries included."""
+    encoder = pieces.Encoder(REAL, 1)
+    for k in range(80):
+        encoder.encode_all([" ".join(f"w{1_000_000 + 5_000 * k + i}" for i in range(j, j + 500)) for j in range(0, 5_000, 500)])
+    kept = [encoder, getattr(encoder, "older", {})]
+    held = sum(sys.getsizeof(d) + sum(sys.getsizeof(c) + sum(map(sys.getsizeof, (e, *e))) for c, e in d.items()) for d in kept)
+    assert 20 << 20 < held < 80 << 20
+
+
+def test_forgotten_chunks_are_found_again(monkeypatch):
+    """With room for few chunks, split in portions, segmentations stay the same."""
+    texts = [f"{'ab' * 40} a{i % 7}中{i} ab{i % 3} {'x' * (i % 9)}" for i in range(60)]
+    want = [pieces.Encoder(REAL, 3).encode(t) for t in texts]
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 8_000)
+    monkeypatch.setattr(pieces, "PORTION", 200)
+    encoder = pieces.Encoder(REAL, 3)
+    assert encoder.encode_all(texts) + encoder.encode_all(texts) == want + want
