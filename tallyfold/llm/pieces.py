@@ -24,7 +24,7 @@ N_BEST = 3
 # Below the least score of a piece, for a character that is no piece and is spelled in bytes.
 UNKNOWN_PENALTY = 10.0
 # Bytes of chunks and segmentations that a worker keeps, in two generations; an entry has so many besides its text and ids.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 224 << 20
 ENTRY_BYTES = 320
 # Longer chunks are searched one by one; shorter ones together, so many characters at once.
 LONG = 64
@@ -287,13 +287,10 @@ class Encoder(dict):
             self.older = dict(self) if self.weight <= CACHE_BYTES else {}
             self.clear()
             self.weight = 0
-        new = set()
-        for c in {c for chunks in found for c in chunks if c not in self}:
-            entry = self.older.pop(c, None)
-            if entry is None:
-                new.add(c)
-            else:
-                self._keep(c, entry)
+        new = {c for chunks in found for c in chunks if c not in self}
+        again = new & self.older.keys()
+        self._keep({c: self.older.pop(c) for c in again})
+        new -= again
         portion, size = [], 0
         for c in sorted(new):
             if len(c) > LONG:
@@ -308,18 +305,16 @@ class Encoder(dict):
         return found
 
     def _fill(self, chunks: list[str]) -> None:
-        for c, entry in zip(chunks, self.trie.search(chunks), strict=True):
-            if entry is not None:
-                self._keep(c, entry)
+        self._keep({c: entry for c, entry in zip(chunks, self.trie.search(chunks), strict=True) if entry is not None})
 
-    def _keep(self, chunk: str, entry: tuple[bytes, float, float]) -> None:
-        self[chunk] = entry
-        self.weight += ENTRY_BYTES + 4 * len(chunk) + len(entry[0])
+    def _keep(self, entries: dict[str, tuple[bytes, float, float]]) -> None:
+        self.update(entries)
+        self.weight += ENTRY_BYTES * len(entries) + 4 * sum(map(len, entries)) + sum([len(e[0]) for e in entries.values()])
 
     def __missing__(self, chunk: str):
         ids, score, loss = self.vocabulary.viterbi(chunk)
         entry = np.array(ids, "<i4").tobytes(), score, loss
-        self._keep(chunk, entry)
+        self._keep({chunk: entry})
         return entry
 
     def alternatives(self, chunk: str) -> list[tuple[float, bytes]]:

@@ -116,8 +116,9 @@ def test_edge_cases(spark):
         assert f(d.limit(0), TOKENIZER).count() == 0
 
 
-def test_a_worker_keeps_a_bounded_size_of_chunks():
+def test_a_worker_keeps_a_bounded_size_of_chunks(monkeypatch):
     """Of 400,000 different chunks only so many stay that they fit the limit, tables of the dictionaries included."""
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 64 << 20, raising=False)
     encoder = pieces.Encoder(REAL, 1)
     for k in range(80):
         encoder.encode_all([" ".join(f"w{1_000_000 + 5_000 * k + i}" for i in range(j, j + 500)) for j in range(0, 5_000, 500)])
