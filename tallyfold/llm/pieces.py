@@ -24,7 +24,9 @@ N_BEST = 3
 # Below the least score of a piece, for a character that is no piece and is spelled in bytes.
 UNKNOWN_PENALTY = 10.0
 # Bytes of chunks and segmentations that a worker keeps, in two generations; an entry has so many besides its text and ids.
+# The search for n best gains most from it; the best alone runs among other stages, whose executors need the room.
 CACHE_BYTES = 224 << 20
+BEST_CACHE_BYTES = 64 << 20
 ENTRY_BYTES = 320
 # Longer chunks are searched one by one; shorter ones together, so many characters at once.
 LONG = 64
@@ -270,21 +272,21 @@ class Trie:
 class Encoder(dict):
     """Chunk to ``(ids as bytes, score, loss of the second best)``, computed when first asked for.
 
-    Entries grow old together: when half of ``CACHE_BYTES`` is used, the younger
-    half becomes the older one, from which those asked for again come back.
+    Entries grow old together: when half of the room is used, the younger half
+    becomes the older one, from which those asked for again come back.
     """
 
     def __init__(self, vocabulary: Vocabulary, n: int) -> None:
         super().__init__()
         self.vocabulary, self.n, self.trie = vocabulary, n, Trie(vocabulary)
         self.older: dict[str, tuple[bytes, float, float]] = {}
-        self.weight = 0
+        self.room, self.weight = CACHE_BYTES if n > 1 else BEST_CACHE_BYTES, 0
 
     def split(self, texts: list[str]) -> list[list[str]]:
         """The chunks of texts; those not seen before are searched together."""
         found = [self.vocabulary.chunks.findall(" " + t) if t else [] for t in texts]
-        if self.weight > CACHE_BYTES // 2:
-            self.older = dict(self) if self.weight <= CACHE_BYTES else {}
+        if self.weight > self.room // 2:
+            self.older = dict(self) if self.weight <= self.room else {}
             self.clear()
             self.weight = 0
         new = {c for chunks in found for c in chunks if c not in self}
