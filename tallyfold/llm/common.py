@@ -52,9 +52,3 @@ class Numbers(dict):
     def __missing__(self, key):
         number = self[key] = len(self)
         return number
-
-
-def drop_folder(spark: SparkSession, folder: str) -> None:
-    """Remove a table of the shared folder that nothing reads any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,6 +1,7 @@
 """Scores against brute force, the sampler against enumeration, and edge cases."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -135,3 +136,54 @@ def test_totals_of_contexts_do_not_depend_on_buckets(spark):
             told.setdefault(int(c), set()).add((int(n), int(t)))
     assert len(told) > 30 and told == {c: {(customers[c], tables[c])} for c in told}
     assert sum(customers.values()) == kept[-1].tokens
+
+
+def test_scores_are_predictions_of_the_trained_state(spark):
+    """What is put together block by block is what the buckets predict."""
+    rng = np.random.default_rng(4)
+    docs = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 50) % 300)) for k in range(40)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    n = py.MIN_BUCKETS
+    made = py._blocks(d.select("doc_id", "held_out", "text"), n).where("bucket >= 0").select("block", "bucket", *py._names(py._PAIRS))
+    state, kept = py.train(made, n)
+    loaded = [(r.bucket, py._load(r), r["kept"]) for r in state.collect()]
+    every = {}
+    for _, b, samples in loaded:
+        by_context = [py._tables(b, t)[3] for t in samples]
+        every |= {c: v for c, *v in zip(b.contexts.tolist(), b.leaf.tolist(), *(x.tolist() for x in by_context), strict=True)}
+    contexts = np.array(sorted(every))
+    customers, *tables = np.array([every[c] for c in contexts.tolist()]).T
+    buckets = {}
+    for bucket, b, samples in loaded:
+        own = [(*py._tables(b, t)[:3], x) for t, x in zip(samples, tables, strict=True)]
+        b.contexts, b.leaf = contexts, customers
+        buckets[bucket] = b, list(zip(own, kept, strict=True))
+    assert sum((b.counts > 1).sum() for b, _ in buckets.values()) > 100
+    hashed = lambda w: np.array([xxhash.xxh64_intdigest(w)], np.uint64)
+    scores = {r.doc_id: r.score for r in py.score(d, F.col("held_out")).collect()}
+    for i, text in docs[:12]:
+        words, context, expected = [w.encode() for w in tokens(text)], np.array([py.FIRST]), 0.0
+        for w in words:
+            b, samples = buckets[int(hashed(w)[0] >> np.uint64(32)) % n]
+            expected += math.log10(b.predict(hashed(w), context, samples)[0][0])
+            context = py.contexts_of([w], hashed(w))
+        assert scores[i] == pytest.approx(expected, abs=1e-4)
+
+
+def test_pairs_seen_once_are_not_moved_by_each_sweep(spark):
+    """Files that a run leaves, shuffled and shared, stay near the size of a text of which every pair is new."""
+    rng = np.random.default_rng(6)
+    docs = [(k, " ".join(f"{int(x):x}" for x in rng.integers(0, 60_000, 10_000))) for k in range(40)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(2).cache()
+    size = sum(len(t) for _, t in docs)
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [*(str(f) for f in manager.localDirs()), spark.sparkContext.getCheckpointDir().removeprefix("file:")]
+
+    def left():
+        found = [os.path.join(top, f) for folder in folders for top, _, files in os.walk(folder) for f in files]
+        return {f: os.path.getsize(f) for f in found if not f.endswith(".crc")}
+
+    before = left()
+    assert py.by_checksum(d).count() == 40
+    assert sum(v for f, v in left().items() if f not in before) < 8 * size
+    d.unpersist()
