@@ -31,9 +31,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def map_batches(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` with the batch limits of this package."""
+    """``mapInArrow`` with the batch limits of this package; what a worker kept for another operator goes first."""
     prepare(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    owner = work.__module__
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(owner)
+        return work(batches)
+
+    return df.mapInArrow(task, schema)
+
+
+# What a worker keeps from task to task, by the module that keeps it. Workers
+# outlive the stages of a pipeline, so that a stage would hold it for all others.
+kept: dict[str, dict] = {}
+
+
+def let_go(owner: str) -> None:
+    """Free what modules other than ``owner`` keep in this process."""
+    others = kept.keys() - {owner}
+    for module in others:
+        kept.pop(module).clear()
+    if others:
+        pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -242,7 +242,8 @@ def matches(index: DataFrame, wanted: DataFrame, size: int = WINDOW, slop: int =
     """
     schema = "block string, doc int, starts array<int>, ends array<int>, items array<string>, near_items array<string>"
     columns = ("block", "starts", "term_hashes", "term_ends", "terms", "list_ends", "positions")
-    index.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    # A row is a block of several megabytes, so each goes to the worker by itself.
+    index.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     found = None
 
     def put(portion: _Portion) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.llm.common import map_batches
+from tallyfold.llm.common import kept, map_batches
 
 N_BEST = 3
 # Below the least score of a piece, for a character that is no piece and is spelled in bytes.
@@ -366,16 +366,14 @@ class Encoder(dict):
         return out
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def _encoder(vocabulary: Vocabulary, n: int) -> Encoder:
     """The encoder of this process for a vocabulary, so that tasks of one worker share what they have found."""
     key = len(vocabulary.spelled), n, hashlib.sha1(b"\0".join(vocabulary.spelled)).digest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary, n)
-    return _encoders[key]
+    encoders = kept.setdefault(__name__, {})
+    if key not in encoders:
+        encoders.clear()
+        encoders[key] = Encoder(vocabulary, n)
+    return encoders[key]
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", n: int = N_BEST) -> DataFrame:

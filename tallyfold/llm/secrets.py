@@ -85,25 +85,30 @@ class Scanner:
         if self.loops is None:
             self._prepare()
         row, forward, heads = self.loops
-        starts = []
+        # Where the marks change, from the end of the text on: all bytes of a long key but its last ones have the same.
+        changes, before = [], 0
         for i, c in enumerate(text[::-1]):
             row = row[c]
-            if row[256]:
-                starts.append((i, row[256]))
+            if row[256] != before:
+                before = row[256]
+                changes.append((i, before))
         found: list[list[tuple[int, int]]] = [[] for _ in self.rules]
         done = [0] * len(self.rules)
-        last = len(text) - 1
-        for i, marks in reversed(starts):
-            at, r = last - i, 0
+        first = 0
+        for i, marks in reversed(changes):
+            stop, r = len(text) - i, 0
             while marks:
-                if marks & 1 and at >= done[r]:
-                    end = _longest(forward[r], text, at)
-                    done[r] = end
-                    begin = _longest(heads[r], text, at) if heads[r] else at
-                    if end - begin >= self.rules[r].least:
-                        found[r].append((at, end))
+                if marks & 1:
+                    at = max(first, done[r])
+                    while at < stop:
+                        end = done[r] = _longest(forward[r], text, at)
+                        begin = _longest(heads[r], text, at) if heads[r] else at
+                        if end - begin >= self.rules[r].least:
+                            found[r].append((at, end))
+                        at = max(end, at + 1)
                 marks >>= 1
                 r += 1
+            first = stop
         return found
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from tallyfold.llm import pieces
+from tallyfold.llm import common, pieces
 from tallyfold.llm.queries import QUERIES, TOKENIZER
 
 SF = "/root/testdata/sf0.001"
@@ -134,3 +134,23 @@ def test_forgotten_chunks_are_found_again(monkeypatch):
     monkeypatch.setattr(pieces, "PORTION", 200)
     encoder = pieces.Encoder(REAL, 3)
     assert encoder.encode_all(texts) + encoder.encode_all(texts) == want + want
+
+
+def test_worker_frees_the_cache_of_another_operator(spark):
+    class Frame:
+        sparkSession = spark
+
+        def mapInArrow(self, task, schema):
+            return task
+
+    def work(batches):
+        return batches
+
+    encoder = pieces._encoder(TOY, 1)
+    encoder.encode("ab aba")
+    work.__module__ = pieces.__name__
+    assert list(common.map_batches(Frame(), work, "x int")(iter([]))) == []
+    assert pieces._encoder(TOY, 1) is encoder
+    work.__module__ = "tallyfold.llm.secrets"
+    assert list(common.map_batches(Frame(), work, "x int")(iter([]))) == []
+    assert pieces._encoder(TOY, 1) is not encoder
