@@ -121,7 +121,12 @@ def build_index(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str
         if block.docs:
             yield close()
 
-    map_batches(chosen, work, schema).write.option("compression", "zstd").parquet(folder)
+    # Writers and readers hold a row group at once. A writer measures it only after a hundred rows, which here may be all
+    # blocks of a task, so a block is a row group by itself. Least and largest values would be whole blocks, held to the end.
+    written = map_batches(chosen, work, schema).write.options(
+        **{"parquet.block.row.count.limit": 1, "parquet.column.statistics.enabled": False, "compression": "zstd"}
+    )
+    written.parquet(folder)
     return docs.sparkSession.read.schema(schema).parquet(folder)
 
 

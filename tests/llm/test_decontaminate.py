@@ -1,10 +1,13 @@
 """Phrase and proximity matches against brute force, and edge cases."""
 
+import glob
 import hashlib
 import random
 import re
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold.llm import decontaminate
 from tallyfold.llm.queries import QUERIES, SQL
@@ -127,3 +130,17 @@ def test_registered_query_returns_proximity_matches(spark, tmp_path):
         1: (True, 2, "a,b"), 2: (False, 2, "a,b"), 3: (False, 0, ""), 4: (False, 0, ""),
     }
     assert all(r.near_items_sha256 == hashlib.sha256(r.near_items.encode()).hexdigest() for r in got.values())
+
+
+def test_row_groups_of_the_index_stay_small(spark, monkeypatch, tmp_path):
+    """Neither a task that makes many blocks nor one that reads them holds them all."""
+    monkeypatch.setattr(decontaminate, "BLOCK_TOKENS", 200_000)
+    text = " ".join(f"w{i}" for i in range(200_000))
+    docs = spark.range(12).coalesce(1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    index = decontaminate.build_index(docs, f"{tmp_path}/index")
+    assert sorted(i for r in index.select("doc_ids").collect() for i in r.doc_ids) == list(range(12))
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{tmp_path}/index/*.parquet")]
+    groups = [m.row_group(k) for m in files for k in range(m.num_row_groups)]
+    # 200,000 positions and terms of 6 bytes: less than 6 MB a block.
+    assert sum(g.num_rows for g in groups) == 12 and max(g.total_byte_size for g in groups) < 6 << 20
+    assert not any(g.column(c).is_stats_set for g in groups for c in range(g.num_columns))
