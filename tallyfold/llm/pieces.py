@@ -24,7 +24,8 @@ N_BEST = 3
 # Below the least score of a piece, for a character that is no piece and is spelled in bytes.
 UNKNOWN_PENALTY = 10.0
 # Bytes of chunks and segmentations that a worker keeps, in two generations; an entry has so many besides its text and ids.
-# The search for n best gains most from it; the best alone runs among other stages, whose executors need the room.
+# The search for n best gains most from it. The smaller one is for the best alone, and for the n best as a stage among
+# others, whose executors need the room.
 CACHE_BYTES = 224 << 20
 BEST_CACHE_BYTES = 64 << 20
 ENTRY_BYTES = 320
@@ -276,11 +277,11 @@ class Encoder(dict):
     becomes the older one, from which those asked for again come back.
     """
 
-    def __init__(self, vocabulary: Vocabulary, n: int) -> None:
+    def __init__(self, vocabulary: Vocabulary, n: int, room: int | None = None) -> None:
         super().__init__()
         self.vocabulary, self.n, self.trie = vocabulary, n, Trie(vocabulary)
         self.older: dict[str, tuple[bytes, float, float]] = {}
-        self.room, self.weight = CACHE_BYTES if n > 1 else BEST_CACHE_BYTES, 0
+        self.room, self.weight = room or (CACHE_BYTES if n > 1 else BEST_CACHE_BYTES), 0
 
     def split(self, texts: list[str]) -> list[list[str]]:
         """The chunks of texts; those not seen before are searched together."""
@@ -366,13 +367,13 @@ class Encoder(dict):
         return out
 
 
-def _encoder(vocabulary: Vocabulary, n: int) -> Encoder:
+def _encoder(vocabulary: Vocabulary, n: int, room: int | None = None) -> Encoder:
     """The encoder of this process for a vocabulary, so that tasks of one worker share what they have found."""
-    key = len(vocabulary.spelled), n, hashlib.sha1(b"\0".join(vocabulary.spelled)).digest()
+    key = len(vocabulary.spelled), n, room, hashlib.sha1(b"\0".join(vocabulary.spelled)).digest()
     encoders = kept.setdefault(__name__, {})
     if key not in encoders:
         encoders.clear()
-        encoders[key] = Encoder(vocabulary, n)
+        encoders[key] = Encoder(vocabulary, n, room)
     return encoders[key]
 
 
@@ -402,6 +403,13 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     )
 
 
+def _lists(found: list[bytes | None]) -> pa.ListArray:
+    """Ids as bytes made lists of numbers, None a null."""
+    ends = np.cumsum([0] + [len(b or b"") // 4 for b in found]).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join(b or b"" for b in found), "<i4"))
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([b is None for b in found], pa.bool_()))
+
+
 def best(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with the best segmentation of ``text`` in a column ``ids`` (null for a null text); an older ``ids`` is replaced."""
     vocabulary = Vocabulary.load(path)
@@ -414,12 +422,7 @@ def best(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = batch.column(at).to_pylist()
             every = encoder.encode_all([t or "" for t in texts])
-            found = [None if t is None else x[0][1] for t, x in zip(texts, every, strict=True)]
-            ends = np.cumsum([0] + [len(b or b"") // 4 for b in found]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(b or b"" for b in found), "<i4"))
-            ids = pa.ListArray.from_arrays(
-                pa.array(ends), values, mask=pa.array([b is None for b in found], pa.bool_())
-            )
+            ids = _lists([None if t is None else x[0][1] for t, x in zip(texts, every, strict=True)])
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*columns, "ids"])
 
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
@@ -428,6 +431,47 @@ def best(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return map_batches(docs, work, schema)
 
 
+def n_best(docs: DataFrame, path: str, text: str = "text", n: int = N_BEST, room: int | None = None) -> DataFrame:
+    """``docs`` with ``(ids, segmentations, round_trip)`` of ``text``, null for a null text; older columns of these names are replaced.
+
+    segmentations has up to ``n`` structs of score and ids, best first, and ids
+    those of the first. round_trip tells whether decoding each of them gives
+    the text back. ``room`` is the size of what a worker keeps.
+    """
+    vocabulary = Vocabulary.load(path)
+    docs = docs.drop("ids", "segmentations", "round_trip")
+    columns = docs.columns
+    at = columns.index(text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(vocabulary, n, room)
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            every = encoder.encode_all([t or "" for t in texts])
+            every = [None if t is None else x for t, x in zip(texts, every, strict=True)]
+            flat = [x for found in every for x in found or []]
+            each = pa.StructArray.from_arrays([pa.array([s for s, _ in flat], pa.float64()), _lists([b for _, b in flat])], ["score", "ids"])
+            ends = pa.array(np.cumsum([0] + [len(x or []) for x in every]).astype(np.int32))
+            segmentations = pa.ListArray.from_arrays(ends, each, mask=pa.array([x is None for x in every], pa.bool_()))
+            back = [
+                None if x is None else all(vocabulary.decode(np.frombuffer(b, "<i4").tolist()) == t for _, b in x)
+                for t, x in zip(texts, every, strict=True)
+            ]
+            ids = _lists([None if x is None else x[0][1] for x in every])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, ids, segmentations, pa.array(back, pa.bool_())], [*columns, "ids", "segmentations", "round_trip"]
+            )
+
+    from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
+
+    ids = ArrayType(IntegerType(), True)
+    one = StructType([StructField("score", DoubleType(), True), StructField("ids", ids, True)])
+    return map_batches(docs, work, StructType([
+        *docs.schema.fields, StructField("ids", ids, True), StructField("segmentations", ArrayType(one, True), True),
+        StructField("round_trip", BooleanType(), True),
+    ]))
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with a column ``decoded``: the text of each row's ``ids`` (null for null)."""
     vocabulary = Vocabulary.load(path)

@@ -60,3 +60,21 @@ def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "simhash_near_dedup", "benchmark_decontamination", "secret_scans", "sentencepiece"
     ]
+
+
+def test_last_stage_searches_the_n_best(spark):
+    rows = [(1, "the dog sat on the mat and so did the cat"), (2, ""), (None, "a▁b  中é\n x"), (4, None), (5, "123 🎉")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert found.columns == ["doc_id", "text", "ids", "segmentations", "round_trip"]
+    got = {r.text: r for r in found.collect()}
+    assert len(got) == 5 and got[None][2:] == (None, None, None)
+    vocabulary = pieces.Vocabulary.load(corpus_pipeline.TOKENIZER)
+    assert [(x.score, x.ids) for x in got[""].segmentations] == [(0.0, [])]
+    for text in set(got) - {None, ""}:
+        r = got[text]
+        # The whole lattice in one search gives the same scores.
+        assert [x.score for x in r.segmentations] == [s for s, _ in vocabulary.n_best(" " + text, 3)]
+        assert r.ids == r.segmentations[0].ids and len({tuple(x.ids) for x in r.segmentations}) == (1 if r.doc_id == 5 else 3)
+        assert r.round_trip and all(vocabulary.decode(x.ids) == text for x in r.segmentations)
+    assert found.limit(0).count() == 0
